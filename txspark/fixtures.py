@@ -8,10 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txspark.schema import COLUMNS
+from txspark.sources.bytesplit import open_filesystem
+
+ADDRESSES = ("sending_address", "receiving_address")
 
 EVENT_COLUMNS = ["event_id", "user_id", "event_type", "value"]
 EVENT_DDL = "event_id bigint, user_id bigint, event_type string, value double"
@@ -69,7 +73,7 @@ DUPLICATED = "event_id % 50 = 0"
 _TOKEN = "CASE event_id % 3 WHEN 0 THEN 'N/A' WHEN 1 THEN 'none' ELSE '' END"
 
 
-def _text(column: str) -> str:
+def record_text(column: str) -> str:
     expr = f"({RAW_EXPRESSIONS[column]})"
     if column in ("amount", "risk_score"):
         return f"coalesce(CAST(CAST({expr} AS DECIMAL(18,2)) AS STRING), {_TOKEN})"
@@ -77,7 +81,7 @@ def _text(column: str) -> str:
 
 
 # One CSV record. No field holds a comma, a quote or a line break.
-RECORD = " || ',' || ".join(_text(c) for c in COLUMNS)
+RECORD = " || ',' || ".join(record_text(c) for c in COLUMNS)
 
 RECORDS_PER_PART = 997
 
@@ -90,6 +94,21 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet").select(*EVENT_COLUMNS)
 
 
+def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as a file stream. The glob lets the table be one file or a folder."""
+    return spark.readStream.schema(EVENT_DDL).parquet(f"{sf_dir}/event[s].parquet")
+
+
+def events_bytes(sf_dir: str) -> int:
+    """Stored size of the events table."""
+    files, path = open_filesystem(f"{sf_dir}/events.parquet")
+    info = files.get_file_info(path)
+    if info.type == pafs.FileType.File:
+        return info.size
+    listed = files.get_file_info(pafs.FileSelector(path, recursive=True))
+    return sum(f.size or 0 for f in listed)
+
+
 def _with_copies(df: DataFrame) -> DataFrame:
     copies = f"explode(CASE WHEN {DUPLICATED} THEN array(1, 2) ELSE array(1) END) AS copy"
     return df.selectExpr("*", copies)
@@ -101,6 +120,11 @@ def transactions(events_df: DataFrame) -> DataFrame:
     return _with_copies(events_df).selectExpr(*exprs)
 
 
+def number_texts(events_df: DataFrame, columns: list[str]) -> DataFrame:
+    """Number columns as spelled in the CSV form."""
+    return _with_copies(events_df).selectExpr(*[f"{record_text(c)} AS {c}" for c in columns])
+
+
 def csv_records(events_df: DataFrame) -> DataFrame:
     """The raw relation as CSV records, with their place in the file sequence."""
     part = f"event_id DIV {RECORDS_PER_PART}"

@@ -43,20 +43,23 @@ def suite_counters(schema: T.StructType, suite: list[Rule]) -> dict[str, Column]
     return counters
 
 
+def _rows_off(low: int | None, high: int | None) -> Column:
+    """How many rows there are too few or too many."""
+    off = F.lit(0).cast("bigint")
+    if low is not None:
+        off = F.greatest(off, F.lit(low) - F.col("rows"))
+    if high is not None:
+        off = F.greatest(off, F.col("rows") - F.lit(high))
+    return off
+
+
 def _outcome(i: int, rule: Rule) -> Column:
-    none = F.lit(None).cast("bigint")
     if rule.type == ROW_COUNT:
-        low, high = rule.kwargs.get("min_value"), rule.kwargs.get("max_value")
-        success = F.lit(True)
-        if low is not None:
-            success = success & (F.col("rows") >= low)
-        if high is not None:
-            success = success & (F.col("rows") <= high)
-        missing = unexpected = none
+        missing = F.lit(0).cast("bigint")
+        unexpected = _rows_off(rule.kwargs.get("min_value"), rule.kwargs.get("max_value"))
     else:
         missing = F.col(f"missing_{rule.column}")
         unexpected = missing if rule.type == NOT_NULL else F.col(f"broken_{i}")
-        success = unexpected == 0
     values = [
         F.lit(i + 1),
         F.lit(rule.type),
@@ -64,7 +67,7 @@ def _outcome(i: int, rule: Rule) -> Column:
         F.col("rows"),
         missing,
         unexpected,
-        success,
+        unexpected == 0,
     ]
     return F.struct(*[v.alias(n) for v, n in zip(values, RESULT_COLUMNS)])
 
