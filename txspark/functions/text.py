@@ -21,9 +21,11 @@ NULL_TOKENS = ("", "none", "None", "null", "NULL", "N/A", "n/a", "NaN", "nan")
 def trim_spaces(col: Column) -> Column:
     """Strip space separators at both ends; tabs and line breaks stay.
 
-    Two-argument TRIM takes a set of characters, so no regex runs per value.
+    Pure ASCII text, as many bytes as characters, can only hold the plain space, for which
+    the one-argument TRIM is several times faster.
     """
-    return F.trim(col, F.lit(SPACE_SEPARATORS))
+    ascii_only = F.length(col) == F.octet_length(col)
+    return F.when(ascii_only, F.trim(col)).otherwise(F.trim(col, F.lit(SPACE_SEPARATORS)))
 
 
 def lower_trim(col: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from txspark.operators.profile import count_nulls
 from txspark.rules import NOT_NULL, ROW_COUNT, Rule
 
 RESULT_COLUMNS = [
@@ -19,12 +20,12 @@ RESULT_COLUMNS = [
 ]
 
 
-def _missing(schema: T.StructType, column: str) -> Column:
-    """No value: NULL, and NaN too in a floating-point column."""
+def _value(schema: T.StructType, column: str) -> Column:
+    """The column where it holds a value; NaN in a floating-point column is none."""
     col = F.col(column)
     if isinstance(schema[column].dataType, (T.DoubleType, T.FloatType)):
-        return col.isNull() | F.isnan(col)
-    return col.isNull()
+        return F.nanvl(col, F.lit(None))
+    return col
 
 
 def suite_counters(schema: T.StructType, suite: list[Rule]) -> dict[str, Column]:
@@ -36,10 +37,10 @@ def suite_counters(schema: T.StructType, suite: list[Rule]) -> dict[str, Column]
     for i, rule in enumerate(suite):
         if rule.type == ROW_COUNT:
             continue
-        missing = _missing(schema, rule.column)
-        counters.setdefault(f"missing_{rule.column}", F.count_if(missing))
+        value = _value(schema, rule.column)
+        counters.setdefault(f"missing_{rule.column}", count_nulls(value))
         if rule.type != NOT_NULL:
-            counters[f"broken_{i}"] = F.count_if(~missing & rule.violated())
+            counters[f"broken_{i}"] = F.count_if(rule.violated(value))
     return counters
 
 

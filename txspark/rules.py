@@ -54,9 +54,9 @@ class Rule:
     def column(self) -> str | None:
         return self.kwargs.get("column")
 
-    def violated(self) -> Column:
-        """True where a present value breaks the rule, NULL where there is no value."""
-        col, kw = F.col(self.column), self.kwargs
+    def violated(self, col: Column) -> Column:
+        """True where the value of `col` breaks the rule, NULL where there is no value."""
+        kw = self.kwargs
         if self.type == IN_SET:
             return ~in_set(col, kw["value_set"])
         if self.type == BETWEEN:

@@ -20,7 +20,7 @@ import csv
 import fnmatch
 import hashlib
 from collections.abc import Iterator, Sequence
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +41,9 @@ TAIL_BYTES = 64 << 10
 # reaches further makes the task list the folder itself.
 LOOKAHEAD_BYTES = 1 << 20
 
+# Text offsets within a batch are 32 bits wide.
+MAX_TEXT_BYTES = (1 << 31) - 1
+
 BOM = b"\xef\xbb\xbf"
 
 
@@ -130,42 +133,46 @@ class VirtualFile:
             raise OSError(f"Parts in {self.path} changed while they were read")
         self.parts = listed
 
-    def blocks(self, position: int, soft_end: int) -> Iterator[bytes]:
-        """Bytes from `position` to the end; in small steps once past `soft_end`."""
-        while position < self.end:
+    def blocks(self, position: int, stop: int, step: int) -> Iterator[bytes]:
+        """The bytes in [position, stop), at most `step` at a time."""
+        stop = min(stop, self.end)
+        while position < stop:
             if not self.parts or self.parts[-1].end <= position:
                 self._list_again()
             for part in self.parts:
-                if part.end <= position:
+                part_stop = min(part.end, stop)
+                if part_stop <= position:
                     continue
-                stop = min(part.end, self.end)
                 with self.files.open_input_file(f"{self.base}/{part.name}") as handle:
-                    while position < stop:
-                        step = BLOCK_BYTES if position < soft_end else TAIL_BYTES
-                        limit = min(stop, soft_end) if position < soft_end else stop
-                        want = min(step, limit - position)
+                    while position < part_stop:
+                        want = min(step, part_stop - position)
                         data = handle.read_at(want, position - part.start)
                         if len(data) != want:
                             raise OSError(f"{part.name} is shorter than when it was listed")
                         position += want
                         yield data
-                if position >= self.end:
-                    return
 
 
-def _line_ends(data: np.ndarray) -> np.ndarray:
+def _line_ends(block: bytes) -> np.ndarray:
     """Positions of CR and LF. The empty line between the two of a pair is dropped later,
     like every other empty line."""
-    return np.flatnonzero((data == 10) | (data == 13))
+    data = np.frombuffer(block, np.uint8)
+    breaks = data == 10
+    if b"\r" in block:
+        breaks |= data == 13
+    return np.flatnonzero(breaks)
 
 
-def _pack(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+def _pack(block: bytes, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
     """Lines as one Arrow array, without a Python object per line."""
-    region = data[starts[0] : ends[-1]]
-    text = region[(region != 10) & (region != 13)]
+    region = np.frombuffer(block, np.uint8)[starts[0] : ends[-1]]
+    if len(starts) > 1:
+        text = region[(region != 10) & (region != 13)]
+    else:
+        text = region
     offsets = np.zeros(len(starts) + 1, dtype=np.int64)
     np.cumsum(ends - starts, out=offsets[1:])
-    if offsets[-1] > np.iinfo(np.int32).max:
+    if offsets[-1] > MAX_TEXT_BYTES:
         raise ValueError("A line is longer than 2 GB")
     buffers = [pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(text)]
     lines = pa.StringArray.from_buffers(len(starts), *buffers)
@@ -173,6 +180,20 @@ def _pack(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
     return lines
 
 
+def _gather(blocks: Iterator[bytes]) -> Iterator[bytes]:
+    """Join the small blocks that short parts give, so that batches stay large."""
+    held: list[bytes] = []
+    size = 0
+    for block in blocks:
+        held.append(block)
+        size += len(block)
+        if size >= BLOCK_BYTES // 2:
+            yield b"".join(held) if len(held) > 1 else block
+            held, size = [], 0
+    if held:
+        yield b"".join(held)
+
+
 def read_range(
     source: VirtualFile, start: int, end: int, at_line_start: bool
 ) -> Iterator[tuple[np.ndarray, pa.Array]]:
@@ -180,9 +201,11 @@ def read_range(
     position = start if at_line_start else start - 1
     skipping = not at_line_start
     pending: list[bytes] = []
-    for block in source.blocks(position, end):
-        stops = _line_ends(np.frombuffer(block, np.uint8))
-        if stops.size == 0:
+    inside = _gather(source.blocks(position, end, BLOCK_BYTES))
+    behind = source.blocks(end, source.end, TAIL_BYTES)
+    for block in chain(inside, behind):
+        ends = _line_ends(block)
+        if ends.size == 0:
             if skipping:
                 position += len(block)
                 if position >= end:
@@ -191,29 +214,28 @@ def read_range(
                 pending.append(block)
             continue
         if skipping:
-            cut = int(stops[0]) + 1
-            block, position, skipping = block[cut:], position + cut, False
+            cut = int(ends[0]) + 1
+            block, ends = block[cut:], ends[1:] - cut
+            position, skipping = position + cut, False
         elif pending:
+            ends = ends + sum(map(len, pending))
             block = b"".join([*pending, block])
-            pending = []
-        data = np.frombuffer(block, np.uint8)
-        ends = _line_ends(data)
-        starts = np.concatenate([[0], ends[:-1] + 1]) if ends.size else ends
-        keep = (ends > starts) & (position + starts < end)
-        if keep.any():
-            yield position + starts[keep], _pack(data, starts[keep], ends[keep])
+        pending = []
         rest = int(ends[-1]) + 1 if ends.size else 0
+        if rest:
+            starts = np.concatenate([[0], ends[:-1] + 1])
+            keep = (ends > starts) & (position + starts < end)
+            if keep.any():
+                starts, ends = starts[keep], ends[keep]
+                yield position + starts, _pack(block, starts, ends)
         position += rest
         if position >= end:
             return
         if rest < len(block):
             pending = [block[rest:]]
-    tail = np.frombuffer(b"".join(pending), np.uint8)
-    if tail.size and not skipping:
-        yield (
-            np.array([position]),
-            _pack(tail, np.array([0]), np.array([tail.size])),
-        )
+    if pending and not skipping:
+        tail = b"".join(pending)
+        yield np.array([position]), _pack(tail, np.array([0]), np.array([len(tail)]))
 
 
 def read_header(path: str, pattern: str = PATTERN) -> tuple[str, int]:
@@ -223,23 +245,18 @@ def read_header(path: str, pattern: str = PATTERN) -> tuple[str, int]:
     source = VirtualFile(path, pattern, parts, total)
     begin = len(BOM) if _peek(source, 0, len(BOM)) == BOM else 0
     seen = b""
-    for block in source.blocks(begin, begin):
+    for block in source.blocks(begin, total, TAIL_BYTES):
         seen += block
         text = seen.lstrip(b"\r\n")
-        stops = _line_ends(np.frombuffer(text, np.uint8))
-        if stops.size:
-            size = int(stops[0])
+        ends = _line_ends(text)
+        if ends.size:
+            size = int(ends[0])
             return text[:size].decode(), begin + len(seen) - len(text) + size + 1
     return seen.strip(b"\r\n").decode(), total
 
 
 def _peek(source: VirtualFile, position: int, size: int) -> bytes:
-    seen = b""
-    for block in source.blocks(position, position):
-        seen += block
-        if len(seen) >= size:
-            break
-    return seen[:size]
+    return b"".join(source.blocks(position, position + size, size))
 
 
 def split_header(line: str) -> list[str]:
@@ -257,9 +274,9 @@ def last_line_end(path: str, pattern: str, parts: Sequence[Part], floor: int) ->
     while high > floor:
         low = max(floor, high - step)
         data = _peek(VirtualFile(path, pattern, parts, high), low, high - low)
-        stops = _line_ends(np.frombuffer(data, np.uint8))
-        if stops.size:
-            return low + int(stops[-1]) + 1
+        ends = _line_ends(data)
+        if ends.size:
+            return low + int(ends[-1]) + 1
         high, step = low, min(step * 2, BLOCK_BYTES)
     return floor
 
