@@ -1,0 +1,183 @@
+"""Byte-split reading: any cutting gives back the same lines."""
+
+from __future__ import annotations
+
+import re
+import tempfile
+from pathlib import Path
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from txspark.sources import bytesplit
+from txspark.sources.bytesplit import (
+    Part,
+    VirtualFile,
+    find_parts,
+    last_line_end,
+    plan_ranges,
+    read_header,
+    read_range,
+    split_header,
+)
+from txspark.sources.lines import range_bytes, read_lines
+from txspark.sources.parts import list_parts, validate_parts
+
+
+def write_parts(folder: Path, data: bytes, cuts: list[int]) -> None:
+    edges = [0, *sorted(cuts), len(data)]
+    for i, (a, b) in enumerate(zip(edges, edges[1:])):
+        (folder / f"part_{i:04d}.csv").write_bytes(data[a:b])
+
+
+def expected_lines(data: bytes) -> list[str]:
+    return [p.decode() for p in re.split(rb"[\r\n]", data) if p]
+
+
+def read_all(folder: str, size: int, start: int = 0) -> tuple[list[int], list[str]]:
+    parts = find_parts(folder)
+    positions, lines = [], []
+    for p in plan_ranges(parts, start, parts[-1].end, size):
+        a, b, end, at_start, held = p.value
+        source = VirtualFile(folder, "part_*.csv", [Part(*h) for h in held], end)
+        for pos, text in read_range(source, a, b, at_start):
+            positions += pos.tolist()
+            lines += text.to_pylist()
+    return positions, lines
+
+
+texts = st.text(alphabet=st.sampled_from(list("ab,\"é漢😀 \n\r")), max_size=120)
+
+
+@settings(max_examples=150, deadline=None)
+@given(text=texts, data=st.data())
+def test_any_cutting_gives_the_same_lines(text, data):
+    content = text.encode()
+    cuts = data.draw(st.lists(st.integers(0, len(content)), max_size=12))
+    size = data.draw(st.integers(1, len(content) + 5))
+    with tempfile.TemporaryDirectory() as folder:
+        write_parts(Path(folder), content, cuts)
+        positions, lines = read_all(folder, size)
+    assert lines == expected_lines(content)
+    assert positions == sorted(set(positions))
+    for pos, line in zip(positions, lines):
+        assert content[pos : pos + len(line.encode())] == line.encode()
+
+
+@pytest.mark.parametrize("block", [1, 2, 7, 64])
+def test_block_size_does_not_matter(tmp_path, monkeypatch, block):
+    monkeypatch.setattr(bytesplit, "BLOCK_BYTES", block)
+    monkeypatch.setattr(bytesplit, "TAIL_BYTES", block)
+    content = "".join(f"row {i},{'é' * (i % 9)}\r\n" for i in range(60)).encode()
+    write_parts(tmp_path, content, [5, 5, 6, 100, 101, 333])
+    for size in (1, 13, 200, 10_000):
+        assert read_all(str(tmp_path), size)[1] == expected_lines(content)
+
+
+def test_line_beyond_the_names_a_range_carries(tmp_path, monkeypatch):
+    monkeypatch.setattr(bytesplit, "LOOKAHEAD_BYTES", 0)
+    content = b"first\n" + b"x" * 500 + b"\nlast\n"
+    write_parts(tmp_path, content, list(range(3, len(content), 7)))
+    assert read_all(str(tmp_path), 4)[1] == expected_lines(content)
+
+
+def test_parts_that_change_underway_are_an_error(tmp_path, monkeypatch):
+    monkeypatch.setattr(bytesplit, "LOOKAHEAD_BYTES", 0)
+    write_parts(tmp_path, b"a" * 40 + b"\nb\n", [10, 20, 30])
+    parts = find_parts(str(tmp_path))
+    plan = plan_ranges(parts, 0, parts[-1].end, 5)
+    (tmp_path / "part_0000.csv").write_bytes(b"shorter")
+    _, _, end, at_start, held = plan[0].value
+    source = VirtualFile(str(tmp_path), "part_*.csv", [Part(*h) for h in held], end)
+    with pytest.raises(OSError):
+        list(read_range(source, 0, 5, at_start))
+
+
+def test_ranges_carry_few_names():
+    parts = [Part(f"part_{i:06d}.csv", i * 1000, 1000) for i in range(50_000)]
+    plan = plan_ranges(parts, 0, parts[-1].end, 1_000_000)
+    ahead = bytesplit.LOOKAHEAD_BYTES // 1000
+    assert max(len(p.value[4]) for p in plan) <= 1000 + ahead + 3
+
+
+def test_range_size_scales_with_the_input():
+    assert range_bytes(10, 8) == 1 << 20
+    assert range_bytes(10 << 30, 8) == 128 << 20
+    hundred_tb = 100 << 40
+    size = range_bytes(hundred_tb, 4000)
+    assert hundred_tb / size <= 50_000
+
+
+def test_header_variants(parts_dir):
+    assert read_header(parts_dir(b"\xef\xbb\xbfa,b\n1,2\n")) == ("a,b", 7)
+    assert read_header(parts_dir(b"\n\r\na,", b"b\r\n1,2\n"))[0] == "a,b"
+    assert split_header('a,"b,c",d') == ["a", "b,c", "d"]
+    with pytest.raises(ValueError, match="Repeated"):
+        split_header("a,b,a")
+
+
+def test_last_line_end(tmp_path):
+    write_parts(tmp_path, b"h\nabc\nde", [3, 7])
+    folder = str(tmp_path)
+    assert last_line_end(folder, "part_*.csv", find_parts(folder), 2) == 6
+    assert last_line_end(folder, "part_*.csv", find_parts(folder), 6) == 6
+
+
+def test_invalid_utf8_is_an_error(tmp_path):
+    write_parts(tmp_path, b"ok\n\xff\xfe\n", [])
+    with pytest.raises(Exception, match="UTF8"):
+        read_all(str(tmp_path), 100)
+
+
+def test_spark_reads_cut_records(spark, parts_dir):
+    folder = parts_dir("h1,h2\n1,x\n2,y", "y\n3,", "z", "\n", "4,w")
+    for size in (1, 3, 1000):
+        df = read_lines(spark, folder, rangeBytes=size)
+        assert [r.value for r in df.collect()] == ["1,x", "2,yy", "3,z", "4,w"]
+    assert read_lines(spark, folder, header="false").count() == 5
+    rows = read_lines(spark, folder, withPosition="true").collect()
+    assert [r.pos for r in rows] == [6, 10, 15, 19]
+
+
+def test_header_equal_to_a_record_is_dropped_once(spark, parts_dir):
+    df = read_lines(spark, parts_dir("a,b\na,b\n", "a,b\n"))
+    assert df.count() == 2
+
+
+def test_header_only_gives_no_rows(spark, parts_dir):
+    assert read_lines(spark, parts_dir("a,b\n")).count() == 0
+    assert read_lines(spark, parts_dir("a,b")).count() == 0
+
+
+def test_parts_are_found_in_name_order(spark, tmp_path):
+    for name in ("part_003.csv", "part_001.csv", "part_002.csv", "other.csv", "part_4.txt"):
+        (tmp_path / name).write_bytes(b"xy")
+    (tmp_path / "part_dir.csv").mkdir()
+    rows = list_parts(spark, str(tmp_path)).collect()
+    assert [(r.file, r.pos) for r in rows] == [
+        ("part_001.csv", 0),
+        ("part_002.csv", 2),
+        ("part_003.csv", 4),
+    ]
+
+
+def test_no_parts_is_an_error(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        list_parts(spark, str(tmp_path))
+    with pytest.raises(FileNotFoundError):
+        validate_parts(spark, str(tmp_path / "absent"))
+
+
+def test_every_empty_part_is_named(spark, parts_dir):
+    with pytest.raises(ValueError, match=r"part_001.csv is empty.*part_003.csv is empty"):
+        validate_parts(spark, parts_dir("a", "", "b", ""))
+    assert validate_parts(spark, parts_dir("a", "b", "c", "d")).count() == 4
+
+
+def test_mixed_name_lengths_warn(spark, tmp_path):
+    for n in ("2", "10"):
+        (tmp_path / f"part_{n}.csv").write_bytes(b"x\n")
+    with pytest.warns(UserWarning, match="text order"):
+        rows = list_parts(spark, str(tmp_path)).collect()
+    assert [r.file for r in rows] == ["part_10.csv", "part_2.csv"]
