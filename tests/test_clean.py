@@ -1,0 +1,157 @@
+"""Normalisation, filters, deduplication and cleaning metrics."""
+
+from __future__ import annotations
+
+import pytest
+from conftest import raw_row
+from pyspark.sql import functions as F
+
+from txspark.functions.predicates import matches, outside
+from txspark.functions.text import trim_spaces
+from txspark.operators.normalise import normalise
+from txspark.plans.clean import clean, cleaning_metrics
+from txspark.rules import TransactionRules
+from txspark.schema import CLEAN_SCHEMA
+
+
+def test_a_valid_row_passes_with_clean_types(raw):
+    df = clean(raw(raw_row()))
+    assert [(f.name, f.dataType) for f in df.schema] == [
+        (f.name, f.dataType) for f in CLEAN_SCHEMA
+    ]
+    (row,) = df.withColumn("timestamp", F.unix_timestamp("timestamp")).collect()
+    assert row.asDict() == raw_row()
+
+
+@pytest.mark.parametrize(
+    "changes",
+    [
+        *({c: None} for c in TransactionRules().critical),
+        {"amount": 0.0},
+        {"amount": -50.0},
+        {"location_region": "42"},
+        {"location_region": ""},
+        {"transaction_type": "phishing"},
+        {"anomaly": "unknown"},
+        {"age_group": "New"},
+        {"purchase_pattern": "RANDOM"},
+        # Not critical, but a NULL is in no set.
+        {"age_group": None},
+        {"purchase_pattern": None},
+    ],
+    ids=str,
+)
+def test_invalid_rows_go(raw, changes):
+    assert clean(raw(raw_row(**changes))).count() == 0
+
+
+@pytest.mark.parametrize(
+    "changes",
+    [
+        {"ip_prefix": None},
+        {"login_frequency": None},
+        {"session_duration": -5},
+        {"risk_score": 150.0},
+        {"sending_address": "not an address"},
+        {"amount": float("nan")},
+        {"transaction_type": " SALE "},
+        {"location_region": "none"},
+    ],
+    ids=str,
+)
+def test_rows_that_cleaning_keeps(raw, changes):
+    assert clean(raw(raw_row(**changes))).count() == 1
+
+
+def test_spelling(raw):
+    row = normalise(
+        raw(
+            raw_row(
+                sending_address="  0xABC ",
+                receiving_address=" 0xDEF ",
+                transaction_type=" Sale",
+                location_region=" North America ",
+                age_group=" New ",
+                ip_prefix="\t10.0",
+                anomaly="HIGH_risk ",
+            )
+        )
+    ).first()
+    assert row.sending_address == "0xabc"
+    assert row.receiving_address == "0xdef"
+    assert row.transaction_type == "sale"
+    assert row.location_region == "North America"
+    assert row.age_group == "New"
+    assert row.ip_prefix == "\t10.0"
+    assert row.anomaly == "high_risk"
+
+
+def test_trim_handles_every_space_separator(spark):
+    values = ["\u2003\u00e9\u3000", "\u00a0 \u00e9", "\u00a0x\u2009", " x ", "\n x", "", " ", None]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    got = [r[0] for r in df.select(trim_spaces(F.col("v"))).collect()]
+    assert got == ["\u00e9", "\u00e9", "x", "x", "\n x", "", "", None]
+
+
+def test_narrowing_overflow_raises(raw):
+    with pytest.raises(Exception, match="(?i)overflow"):
+        normalise(raw(raw_row(login_frequency=2**31))).collect()
+
+
+def test_duplicates_are_exact_after_normalisation(raw):
+    same = [raw_row(), raw_row(), raw_row(transaction_type="SALE "), raw_row(amount=99.0)]
+    assert clean(raw(*same)).count() == 2
+
+
+def test_duplicates_may_hold_nulls(raw):
+    assert clean(raw(raw_row(ip_prefix=None), raw_row(ip_prefix=None))).count() == 1
+
+
+def test_metrics(raw):
+    df = raw(
+        raw_row(),
+        raw_row(),
+        raw_row(),
+        raw_row(transaction_type="SALE "),
+        raw_row(amount=None),
+        raw_row(amount=-1.0),
+        raw_row(amount=-1.0, anomaly=None),
+        raw_row(location_region="7"),
+    )
+    assert cleaning_metrics(df).first().asDict() == {
+        "total_raw": 8,
+        "total_cleaned": 1,
+        "total_dropped": 7,
+        "duplicates_removed": 2,
+        "null_critical_dropped": 2,
+        "invalid_amount_dropped": 2,
+    }
+
+
+def test_empty_input(raw):
+    assert clean(raw()).count() == 0
+    assert set(cleaning_metrics(raw()).first()) == {0}
+
+
+def test_extra_columns_count_for_raw_duplicates_only(raw):
+    df = raw(raw_row(), raw_row()).withColumn("line", F.monotonically_increasing_id())
+    metrics = cleaning_metrics(df).first()
+    assert (metrics.duplicates_removed, metrics.total_cleaned) == (0, 1)
+
+
+def test_one_rule_object_feeds_filter_and_suite(raw):
+    rules = TransactionRules(allowed={"transaction_type": ("gift",)})
+    assert clean(raw(raw_row(transaction_type="Gift")), rules).count() == 1
+    sets = [r.kwargs["value_set"] for r in rules.suite() if "value_set" in r.kwargs]
+    assert sets == [["gift"]]
+
+
+def test_closing_anchor_is_strict(spark):
+    df = spark.createDataFrame([("ab",), ("ab\n",), ("a$",)], "v string")
+    assert [r[0] for r in df.select(matches(F.col("v"), "^ab$")).collect()] == [True, False, False]
+    assert [r[0] for r in df.select(matches(F.col("v"), r"a\$")).collect()] == [False, False, True]
+
+
+def test_bounds():
+    with pytest.raises(ValueError):
+        outside(None)
