@@ -89,7 +89,7 @@ def test_spelling(raw):
 def test_trim_handles_every_space_separator(spark):
     values = ["\u2003\u00e9\u3000", "\u00a0 \u00e9", "\u00a0x\u2009", " x ", "\n x", "", " ", None]
     df = spark.createDataFrame([(v,) for v in values], "v string")
-    got = [r[0] for r in df.select(trim_spaces(F.col("v"))).collect()]
+    got = [r[0] for r in df.selectExpr(trim_spaces("v")).collect()]
     assert got == ["\u00e9", "\u00e9", "x", "x", "\n x", "", "", None]
 
 
@@ -148,10 +148,10 @@ def test_one_rule_object_feeds_filter_and_suite(raw):
 
 def test_closing_anchor_is_strict(spark):
     df = spark.createDataFrame([("ab",), ("ab\n",), ("a$",)], "v string")
-    assert [r[0] for r in df.select(matches(F.col("v"), "^ab$")).collect()] == [True, False, False]
-    assert [r[0] for r in df.select(matches(F.col("v"), r"a\$")).collect()] == [False, False, True]
+    assert [r[0] for r in df.selectExpr(matches("v", "^ab$")).collect()] == [True, False, False]
+    assert [r[0] for r in df.selectExpr(matches("v", r"a\$")).collect()] == [False, False, True]
 
 
 def test_bounds():
     with pytest.raises(ValueError):
-        outside(None)
+        outside("v")

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from txspark.functions.sqltext import literal
 
 # What a decimal number looks like. A plain cast to double would also take
 # Java's own spellings, such as `1d` or `0x1p3`.
@@ -14,23 +13,29 @@ _DECIMAL_TEXT = (
 )
 
 
-def strict_double(text: Column, name: str) -> Column:
+def strict_double(expr: str, name: str) -> str:
     """Parse a decimal number, raising on anything else; NULL stays NULL."""
-    bad = F.concat(F.lit(f"Column {name}: invalid number '"), text, F.lit("'"))
-    return F.when(
-        text.isNotNull() & ~text.rlike(_DECIMAL_TEXT), F.raise_error(bad).cast("double")
-    ).otherwise(text.cast("double"))
+    problem = f"concat({literal(f'Column {name}: invalid number ')}, {expr})"
+    return (
+        f"CASE WHEN {expr} NOT RLIKE {literal(_DECIMAL_TEXT)} "
+        f"THEN CAST(raise_error({problem}) AS DOUBLE) ELSE CAST({expr} AS DOUBLE) END"
+    )
 
 
-def rounded_mean(col: Column, digits: int = 6) -> Column:
+def rounded_mean(expr: str, digits: int = 6) -> str:
     """Average rounded half away from zero."""
-    return F.round(F.avg(col), digits)
+    return f"round(avg({expr}), {digits})"
 
 
-def percent_correct(total: Column, errors: Column, digits: int = 4) -> Column:
+def percent_correct(total: str, errors: str, digits: int = 4) -> str:
     """Share of `total` left after `errors`, in percent; 0 for an empty table.
 
     Errors are counted per cell, so the result may be negative.
     """
-    share = (total - errors).cast("double") / total.cast("double") * F.lit(100.0)
-    return F.when(total > 0, F.round(share, digits)).otherwise(F.lit(0.0))
+    share = f"CAST({total} - {errors} AS DOUBLE) / CAST({total} AS DOUBLE) * double('100')"
+    return f"CASE WHEN {total} > 0 THEN round({share}, {digits}) ELSE double('0') END"
+
+
+def count_nulls(expr: str) -> str:
+    """NULLs as rows less values; a plain COUNT needs no branch per row."""
+    return f"count(1) - count({expr})"

@@ -1,60 +1,70 @@
-"""Row predicates. All are built-in expressions with SQL's three-valued logic."""
+"""Row predicates with SQL's three-valued logic."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
-from functools import reduce
-from operator import and_, or_
+from collections.abc import Iterable
 from typing import Any
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from txspark.functions.sqltext import ident, literal, literals
 
 
-def all_present(columns: Iterable[str]) -> Column:
+def all_present(columns: Iterable[str]) -> str:
     """Every column is non-NULL. Unlike `dropna`, NaN counts as a value."""
-    return reduce(and_, [F.col(c).isNotNull() for c in columns])
+    return " AND ".join(f"{ident(c)} IS NOT NULL" for c in columns)
 
 
-def any_null(columns: Iterable[str]) -> Column:
-    return reduce(or_, [F.col(c).isNull() for c in columns])
+def any_null(columns: Iterable[str]) -> str:
+    return " OR ".join(f"{ident(c)} IS NULL" for c in columns)
 
 
-def in_set(col: Column, values: Sequence[Any]) -> Column:
-    return col.isin(list(values))
+def in_set(expr: str, values: Iterable[Any]) -> str:
+    return f"{expr} IN ({literals(values)})"
+
+
+def not_in_set(expr: str, values: Iterable[Any]) -> str:
+    return f"{expr} NOT IN ({literals(values)})"
 
 
 def outside(
-    col: Column,
+    expr: str,
     low: Any = None,
     high: Any = None,
     strict_low: bool = False,
     strict_high: bool = False,
-) -> Column:
+) -> str:
     """Value lies outside the bounds; a strict bound excludes itself."""
     if low is None and high is None:
         raise ValueError("At least one bound is needed")
     misses = []
     if low is not None:
-        misses.append(col <= low if strict_low else col < low)
+        misses.append(f"{expr} {'<=' if strict_low else '<'} {literal(low)}")
     if high is not None:
-        misses.append(col >= high if strict_high else col > high)
-    return reduce(or_, misses)
+        misses.append(f"{expr} {'>=' if strict_high else '>'} {literal(high)}")
+    return " OR ".join(misses)
 
 
-def matches(col: Column, pattern: str) -> Column:
+def matches(expr: str, pattern: str) -> str:
     """Regex search, anchored only by the pattern itself.
 
     Java lets a closing `$` match before a final line break; `\\z` is the strict end.
     """
     if pattern.endswith("$") and not pattern.endswith("\\$"):
         pattern = pattern[:-1] + "\\z"
-    return col.rlike(pattern)
+    return f"{expr} RLIKE {literal(pattern)}"
+
+
+def not_matches(expr: str, pattern: str) -> str:
+    """The opposite; NULL, and so not true, where there is no text."""
+    return f"NOT ({matches(expr, pattern)})"
+
+
+def positive(expr: str) -> str:
+    return f"{expr} > 0"
 
 
-def not_positive(col: Column) -> Column:
-    return col <= 0
+def not_positive(expr: str) -> str:
+    return f"{expr} <= 0"
 
 
-def null_or_not_positive(col: Column) -> Column:
-    return col.isNull() | (col <= 0)
+def null_or_not_positive(expr: str) -> str:
+    return f"{expr} IS NULL OR {expr} <= 0"

@@ -2,83 +2,76 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from txspark.operators.profile import count_nulls
+from txspark.functions.numbers import count_nulls
+from txspark.functions.sqltext import ident, literal
+from txspark.operators.profile import named
 from txspark.rules import NOT_NULL, ROW_COUNT, Rule
 
-RESULT_COLUMNS = [
+RESULT_COLUMNS = (
     "position",
     "rule",
     "column",
     "element_count",
     "missing_count",
     "unexpected_count",
-    "success",
-]
+)
 
 
-def _value(schema: T.StructType, column: str) -> Column:
+def _value(schema: T.StructType, column: str) -> str:
     """The column where it holds a value; NaN in a floating-point column is none."""
-    col = F.col(column)
     if isinstance(schema[column].dataType, (T.DoubleType, T.FloatType)):
-        return F.nanvl(col, F.lit(None))
-    return col
+        return f"nanvl({ident(column)}, NULL)"
+    return ident(column)
 
 
-def suite_counters(schema: T.StructType, suite: list[Rule]) -> dict[str, Column]:
+def suite_counters(schema: T.StructType, suite: list[Rule]) -> dict[str, str]:
     """Named counters from which every rule's outcome follows.
 
     Counters add up, so they may be taken per group or per partition first.
     """
-    counters = {"rows": F.count(F.lit(1))}
+    counters = {"rows": "count(1)"}
     for i, rule in enumerate(suite):
         if rule.type == ROW_COUNT:
             continue
         value = _value(schema, rule.column)
-        counters.setdefault(f"missing_{rule.column}", count_nulls(value))
+        counters[f"missing_{rule.column}"] = count_nulls(value)
         if rule.type != NOT_NULL:
-            counters[f"broken_{i}"] = F.count_if(rule.violated(value))
+            counters[f"broken_{i}"] = f"count_if({rule.violated(value)})"
     return counters
 
 
-def _rows_off(low: int | None, high: int | None) -> Column:
+def _rows_off(low: int | None, high: int | None) -> str:
     """How many rows there are too few or too many."""
-    off = F.lit(0).cast("bigint")
+    off = ["0L"]
     if low is not None:
-        off = F.greatest(off, F.lit(low) - F.col("rows"))
+        off.append(f"{literal(low)} - rows")
     if high is not None:
-        off = F.greatest(off, F.col("rows") - F.lit(high))
-    return off
+        off.append(f"rows - {literal(high)}")
+    return f"greatest({', '.join(off)})" if len(off) > 1 else off[0]
 
 
-def _outcome(i: int, rule: Rule) -> Column:
+def _outcome(i: int, rule: Rule) -> str:
     if rule.type == ROW_COUNT:
-        missing = F.lit(0).cast("bigint")
+        missing = "0L"
         unexpected = _rows_off(rule.kwargs.get("min_value"), rule.kwargs.get("max_value"))
     else:
-        missing = F.col(f"missing_{rule.column}")
-        unexpected = missing if rule.type == NOT_NULL else F.col(f"broken_{i}")
-    values = [
-        F.lit(i + 1),
-        F.lit(rule.type),
-        F.lit(rule.column).cast("string"),
-        F.col("rows"),
-        missing,
-        unexpected,
-        unexpected == 0,
-    ]
-    return F.struct(*[v.alias(n) for v, n in zip(values, RESULT_COLUMNS)])
+        missing = ident(f"missing_{rule.column}")
+        unexpected = missing if rule.type == NOT_NULL else f"broken_{i}"
+    column = f"CAST({literal(rule.column)} AS STRING)"
+    return f"{i + 1}, {literal(rule.type)}, {column}, rows, {missing}, {unexpected}"
 
 
 def suite_outcomes(counts: DataFrame, suite: list[Rule]) -> DataFrame:
     """One row per rule, from the single row of counters."""
-    return counts.select(F.inline(F.array(*[_outcome(i, r) for i, r in enumerate(suite)])))
+    cells = ", ".join(_outcome(i, rule) for i, rule in enumerate(suite))
+    names = ", ".join(ident(c) for c in RESULT_COLUMNS)
+    rows = counts.selectExpr(f"stack({len(suite)}, {cells}) AS ({names})")
+    return rows.selectExpr("*", "unexpected_count = 0 AS success")
 
 
 def run_suite(df: DataFrame, suite: list[Rule]) -> DataFrame:
     """Evaluate a whole suite over `df` in one pass without a shuffle of rows."""
-    counters = suite_counters(df.schema, suite)
-    return suite_outcomes(df.agg(*[c.alias(n) for n, c in counters.items()]), suite)
+    return suite_outcomes(df.selectExpr(*named(suite_counters(df.schema, suite))), suite)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
+from txspark.functions.sqltext import ident
 from txspark.functions.text import lower_trim, trim_spaces
 from txspark.schema import COLUMNS
 
@@ -13,18 +13,18 @@ TRIMMED = ("location_region", "ip_prefix", "purchase_pattern", "age_group")
 NARROWED = ("login_frequency", "session_duration")
 
 
-def clean_column(name: str) -> Column:
+def clean_column(name: str) -> str:
     """The clean form of one contract column."""
-    col = F.col(name)
+    expr = ident(name)
     if name == "timestamp":
-        col = F.timestamp_seconds(col)
+        expr = f"timestamp_seconds({expr})"
     elif name in LOWERED:
-        col = lower_trim(col)
+        expr = lower_trim(expr)
     elif name in TRIMMED:
-        col = trim_spaces(col)
+        expr = trim_spaces(expr)
     elif name in NARROWED:
-        col = col.cast("int")  # ANSI mode: overflow raises
-    return col.alias(name)
+        expr = f"CAST({expr} AS INT)"  # ANSI mode: overflow raises
+    return f"{expr} AS {ident(name)}"
 
 
 def normalise(df: DataFrame) -> DataFrame:
@@ -32,4 +32,4 @@ def normalise(df: DataFrame) -> DataFrame:
 
     One narrow projection; extra columns vanish here.
     """
-    return df.select(*[clean_column(c) for c in COLUMNS])
+    return df.selectExpr(*[clean_column(c) for c in COLUMNS])

@@ -4,39 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from txspark.functions.numbers import count_nulls
+from txspark.functions.sqltext import ident
 from txspark.schema import COLUMNS
 
 
-def row_count(df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("row_count"))
-
-
-def count_nulls(col: Column) -> Column:
-    """NULLs as rows less values; a plain COUNT needs no branch per row."""
-    return F.count(F.lit(1)) - F.count(col)
+def named(counters: dict[str, str]) -> list[str]:
+    """Aggregates by name as aliased expressions."""
+    return [f"{expr} AS {ident(name)}" for name, expr in counters.items()]
 
 
-def null_counters(columns: Iterable[str] = COLUMNS) -> dict[str, Column]:
-    return {f"null_{c}": count_nulls(F.col(c)) for c in columns}
-
-
-def long_form(wide: DataFrame, pairs: dict[str, str], key: str, value: str) -> DataFrame:
-    """Turn one wide row into (key, value) rows; `pairs` maps key text to column name."""
-    rows = [F.struct(F.lit(k).alias(key), F.col(c).alias(value)) for k, c in pairs.items()]
-    return wide.select(F.inline(F.array(*rows)))
+def row_count(df: DataFrame) -> DataFrame:
+    return df.selectExpr("count(1) AS row_count")
 
 
 def null_profile(df: DataFrame, columns: Iterable[str] = COLUMNS) -> DataFrame:
     """NULLs per column as (column_name, null_count)."""
-    columns = list(columns)
-    counts = df.agg(*[c.alias(n) for n, c in null_counters(columns).items()])
-    return long_form(counts, {c: f"null_{c}" for c in columns}, "column_name", "null_count")
+    counts = df.selectExpr(*named({c: count_nulls(ident(c)) for c in columns}))
+    return counts.unpivot([], counts.columns, "column_name", "null_count")
 
 
 def frequency(df: DataFrame, column: str) -> DataFrame:
     """Rows per value, most frequent first; NULL is a value of its own."""
-    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("count"))
-    return counts.orderBy(F.desc("count"), F.asc(column))
+    return df.groupBy(column).count().orderBy(F.desc("count"), F.asc(column))

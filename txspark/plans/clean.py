@@ -26,11 +26,11 @@ def clean(
 
 def raw_metrics(raw: DataFrame, rules: TransactionRules = RULES) -> DataFrame:
     """Counters over the raw rows and over the distinct raw rows, in one job."""
-    return count_copies(raw).agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("total_raw"),
-        F.count(F.lit(1)).alias("distinct_raw"),
-        F.count_if(rules.critical_missing()).alias("null_critical_dropped"),
-        F.count_if(not_positive(F.col("amount"))).alias("invalid_amount_dropped"),
+    return count_copies(raw).selectExpr(
+        "coalesce(sum(copies), 0) AS total_raw",
+        "count(1) AS distinct_raw",
+        f"count_if({rules.critical_missing()}) AS null_critical_dropped",
+        f"count_if({not_positive('amount')}) AS invalid_amount_dropped",
     )
 
 
@@ -49,11 +49,11 @@ def cleaning_metrics(
         cleaned = clean(raw, rules)
     total_cleaned = cleaned.agg(F.count(F.lit(1))).scalar()
     counts = raw_metrics(raw, rules).withColumn("total_cleaned", total_cleaned)
-    return counts.select(
+    return counts.selectExpr(
         "total_raw",
         "total_cleaned",
-        (F.col("total_raw") - F.col("total_cleaned")).alias("total_dropped"),
-        (F.col("total_raw") - F.col("distinct_raw")).alias("duplicates_removed"),
+        "total_raw - total_cleaned AS total_dropped",
+        "total_raw - distinct_raw AS duplicates_removed",
         "null_critical_dropped",
         "invalid_amount_dropped",
     )

@@ -7,10 +7,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txspark.functions.numbers import percent_correct
-from txspark.functions.predicates import matches, null_or_not_positive, outside
+from txspark.functions.numbers import count_nulls, percent_correct
+from txspark.functions.predicates import not_matches, null_or_not_positive, outside
+from txspark.functions.sqltext import ident
 from txspark.operators.expectations import suite_counters, suite_outcomes
-from txspark.operators.profile import long_form, null_counters
+from txspark.operators.profile import named
 from txspark.rules import RULES, Rule, TransactionRules
 from txspark.schema import COLUMNS
 
@@ -26,19 +27,18 @@ def quality_profile(df: DataFrame, rules: TransactionRules = RULES) -> DataFrame
     Counters are summed map-side, so one value holding most rows does no harm.
     """
     counters = suite_counters(df.schema, rules.suite())
-    counters |= null_counters()
-    counters["invalid_amount_rows"] = F.count_if(null_or_not_positive(F.col("amount")))
+    counters |= {f"null_{c}": count_nulls(c) for c in COLUMNS}
+    counters["invalid_amount_rows"] = f"count_if({null_or_not_positive('amount')})"
     for side in ("sending", "receiving"):
-        bad = ~matches(F.col(f"{side}_address"), rules.address_pattern)
-        counters[f"invalid_{side}_addresses"] = F.count_if(bad)
-    low, high = rules.risk_range
-    counters["risk_score_out_of_range"] = F.count_if(outside(F.col("risk_score"), low, high))
-    return df.groupBy("anomaly").agg(*[c.alias(n) for n, c in counters.items()])
+        bad = not_matches(ident(f"{side}_address"), rules.address_pattern)
+        counters[f"invalid_{side}_addresses"] = f"count_if({bad})"
+    counters["risk_score_out_of_range"] = f"count_if({outside('risk_score', *rules.risk_range)})"
+    return df.groupBy("anomaly").agg(*map(F.expr, named(counters)))
 
 
 def _totals(profile: DataFrame) -> DataFrame:
     names = [c for c in profile.columns if c != "anomaly"]
-    return profile.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
+    return profile.selectExpr(*named({n: f"coalesce(sum({n}), 0)" for n in names}))
 
 
 @dataclass(frozen=True)
@@ -53,33 +53,31 @@ class QualityReport:
 
         Errors are counted per cell: a NULL amount is both a NULL and an invalid amount.
         """
-        nulls = sum((F.col(f"null_{c}") for c in COLUMNS[1:]), F.col(f"null_{COLUMNS[0]}"))
         errors = (
-            F.col("total_nulls")
-            + F.col("invalid_amount_rows")
-            + F.col("invalid_sending_addresses")
-            + F.col("invalid_receiving_addresses")
+            "total_nulls + invalid_amount_rows + invalid_sending_addresses"
+            " + invalid_receiving_addresses"
         )
-        rows = _totals(self.profile).withColumn("total_nulls", nulls)
-        rows = rows.withColumn("error_count", errors)
-        return rows.select(
-            F.col("rows").alias("total_records"),
+        nulls = " + ".join(f"null_{c}" for c in COLUMNS)
+        rows = _totals(self.profile).selectExpr("*", f"{nulls} AS total_nulls")
+        rows = rows.selectExpr("*", f"{errors} AS error_count")
+        return rows.selectExpr(
+            "rows AS total_records",
             "total_nulls",
             "invalid_amount_rows",
             "invalid_sending_addresses",
             "invalid_receiving_addresses",
             "risk_score_out_of_range",
             "error_count",
-            percent_correct(F.col("rows"), F.col("error_count")).alias("compliance_pct"),
+            f"{percent_correct('rows', 'error_count')} AS compliance_pct",
         )
 
     def null_profile(self) -> DataFrame:
-        pairs = {c: f"null_{c}" for c in COLUMNS}
-        return long_form(_totals(self.profile), pairs, "column_name", "null_count")
+        counts = _totals(self.profile).selectExpr(*[f"null_{c} AS {c}" for c in COLUMNS])
+        return counts.unpivot([], COLUMNS, "column_name", "null_count")
 
     def anomaly_breakdown(self) -> DataFrame:
         """Rows per anomaly value, most frequent first."""
-        counts = self.profile.select("anomaly", F.col("rows").alias("count"))
+        counts = self.profile.selectExpr("anomaly", "rows AS count")
         return counts.orderBy(F.desc("count"), F.asc("anomaly"))
 
     def results(self) -> DataFrame:
@@ -89,17 +87,17 @@ class QualityReport:
 
 def summarise(results: DataFrame) -> DataFrame:
     """Evaluated, successful and unsuccessful rules, and the overall verdict."""
-    return results.agg(
-        F.coalesce(F.bool_and("success"), F.lit(True)).alias("success"),
-        F.count(F.lit(1)).alias("evaluated_expectations"),
-        F.count_if(F.col("success")).alias("successful_expectations"),
-        F.count_if(~F.col("success")).alias("unsuccessful_expectations"),
+    return results.selectExpr(
+        "coalesce(bool_and(success), true) AS success",
+        "count(1) AS evaluated_expectations",
+        "count_if(success) AS successful_expectations",
+        "count_if(NOT success) AS unsuccessful_expectations",
     )
 
 
 def failed_rules(results: DataFrame) -> list[str]:
     """Types of the failed rules, in suite order; the frame holds one row per rule."""
-    rows = results.where(~F.col("success")).orderBy("position").select("rule").collect()
+    rows = results.where("NOT success").orderBy("position").select("rule").collect()
     return [r.rule for r in rows]
 
 

@@ -21,8 +21,8 @@ def receiver_order() -> list[Column]:
 def region_means(cleaned: DataFrame) -> DataFrame:
     """Mean risk and number of transactions per region, unordered."""
     return cleaned.groupBy("location_region").agg(
-        rounded_mean(F.col("risk_score")).alias("avg_risk_score"),
-        F.count(F.lit(1)).alias("transaction_count"),
+        F.expr(f"{rounded_mean('risk_score')} AS avg_risk_score"),
+        F.expr("count(1) AS transaction_count"),
     )
 
 
@@ -32,7 +32,7 @@ def region_risk(cleaned: DataFrame) -> DataFrame:
 
 
 def sales(cleaned: DataFrame) -> DataFrame:
-    return cleaned.where(F.col("transaction_type") == "sale")
+    return cleaned.where("transaction_type = 'sale'")
 
 
 def latest_sale_per_receiver(cleaned: DataFrame) -> DataFrame:

@@ -8,8 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timezone
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,12 +15,17 @@ from pyspark.sql import types as T
 
 from txspark import fixtures
 from txspark import rules as R
-from txspark.functions.predicates import in_set, matches, not_positive, null_or_not_positive
-from txspark.functions.text import lower_trim, null_if_token, trim_spaces
+from txspark.functions.predicates import (
+    not_matches,
+    not_positive,
+    null_or_not_positive,
+    positive,
+)
+from txspark.functions.text import null_if_token
 from txspark.operators.dedupe import drop_exact_duplicates
 from txspark.operators.expectations import run_suite
-from txspark.operators.normalise import TRIMMED, clean_column, normalise
-from txspark.operators.profile import frequency, long_form, null_profile, row_count
+from txspark.operators.normalise import NARROWED, TRIMMED, clean_column, normalise
+from txspark.operators.profile import frequency, null_profile, row_count
 from txspark.plans import quality, tables
 from txspark.plans.clean import clean, cleaning_metrics
 from txspark.plans.pipeline import build_tables, run_pipeline
@@ -91,47 +94,43 @@ def _on_parts(build: Callable[[SparkSession, str], DataFrame]) -> Query:
 
 
 def epoch_to_ts(raw: DataFrame) -> DataFrame:
-    return raw.select(F.col("timestamp").alias("epoch"), clean_column("timestamp").alias("ts"))
+    return raw.selectExpr("timestamp AS epoch", "timestamp_seconds(timestamp) AS ts")
 
 
 def normalise_address(raw: DataFrame) -> DataFrame:
-    return raw.select(*[lower_trim(F.col(c)).alias(c) for c in fixtures.ADDRESSES])
+    return raw.selectExpr(*[clean_column(c) for c in fixtures.ADDRESSES])
 
 
 def normalise_category(raw: DataFrame) -> DataFrame:
-    return raw.select(*[lower_trim(F.col(c)).alias(c) for c in ("transaction_type", "anomaly")])
+    return raw.selectExpr(*[clean_column(c) for c in ("transaction_type", "anomaly")])
 
 
 def trim_columns(raw: DataFrame) -> DataFrame:
-    return raw.select(*[trim_spaces(F.col(c)).alias(c) for c in TRIMMED])
+    return raw.selectExpr(*[clean_column(c) for c in TRIMMED])
 
 
 def narrow_cast(raw: DataFrame) -> DataFrame:
-    return raw.select(clean_column("login_frequency"), clean_column("session_duration"))
+    return raw.selectExpr(*[clean_column(c) for c in NARROWED])
 
 
 def null_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["amount", "risk_score"]
     texts = fixtures.number_texts(fixtures.events(spark, sf_dir), columns)
-    counts = texts.agg(
-        *[F.count_if(null_if_token(F.col(c)).isNull()).alias(c) for c in columns]
-    )
-    return long_form(counts, {c: c for c in columns}, "column_name", "null_count")
+    return null_profile(texts.selectExpr(*[f"{null_if_token(c)} AS {c}" for c in columns]), columns)
 
 
 # -- quality ---------------------------------------------------------------------------
 
 
 def invalid_addresses(rows: DataFrame) -> DataFrame:
-    bad = {c: ~matches(F.col(c), RULES.address_pattern) for c in fixtures.ADDRESSES}
-    return rows.agg(*[F.count_if(p).alias(f"invalid_{c}") for c, p in bad.items()])
+    bad = {c: not_matches(c, RULES.address_pattern) for c in fixtures.ADDRESSES}
+    return rows.selectExpr(*[f"count_if({p}) AS invalid_{c}" for c, p in bad.items()])
 
 
 def amount_checks(rows: DataFrame) -> DataFrame:
-    amount = F.col("amount")
-    return rows.agg(
-        F.count_if(null_or_not_positive(amount)).alias("null_or_not_positive"),
-        F.count_if(not_positive(amount)).alias("not_positive"),
+    return rows.selectExpr(
+        f"count_if({null_or_not_positive('amount')}) AS null_or_not_positive",
+        f"count_if({not_positive('amount')}) AS not_positive",
     )
 
 
@@ -142,7 +141,7 @@ def expect(rule_type: str) -> Query:
 
 def failed_rules(rows: DataFrame) -> DataFrame:
     results = quality.dq_suite_results(rows)
-    return results.where(~F.col("success")).select("position", "rule", "column")
+    return results.where("NOT success").select("position", "rule", "column")
 
 
 def stored_results(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -266,13 +265,9 @@ QUERIES: dict[str, Query] = {
     # filters
     "filter_critical_not_null": _on_normal(lambda df: df.where(RULES.critical_present())),
     "filter_critical_null": _on_normal(lambda df: df.where(RULES.critical_missing())),
-    "filter_amount_positive": _on_normal(lambda df: df.where(F.col("amount") > 0)),
-    "filter_regex": _on_normal(
-        lambda df: df.where(matches(F.col("location_region"), RULES.region_pattern))
-    ),
-    "filter_in_set": _on_normal(
-        lambda df: df.where(reduce(and_, [in_set(F.col(c), v) for c, v in RULES.allowed.items()]))
-    ),
+    "filter_amount_positive": _on_normal(lambda df: df.where(positive("amount"))),
+    "filter_regex": _on_normal(lambda df: df.where(RULES.valid_region())),
+    "filter_in_set": _on_normal(lambda df: df.where(RULES.allowed_values())),
     "filter_sales": _on_normal(tables.sales),
     # distinct and aggregation
     "dedupe_exact": _on_normal(drop_exact_duplicates),

@@ -5,20 +5,19 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass, field
-from functools import reduce
-from operator import and_
 from typing import Any
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from txspark.functions.predicates import (
     all_present,
     any_null,
     in_set,
     matches,
+    not_in_set,
+    not_matches,
     outside,
+    positive,
 )
+from txspark.functions.sqltext import ident
 
 # The public names of the supported expectation types.
 ROW_COUNT = "expect_table_row_count_to_be_between"
@@ -54,21 +53,21 @@ class Rule:
     def column(self) -> str | None:
         return self.kwargs.get("column")
 
-    def violated(self, col: Column) -> Column:
-        """True where the value of `col` breaks the rule, NULL where there is no value."""
+    def violated(self, value: str) -> str:
+        """True where the value breaks the rule, NULL where there is none."""
         kw = self.kwargs
         if self.type == IN_SET:
-            return ~in_set(col, kw["value_set"])
+            return not_in_set(value, kw["value_set"])
         if self.type == BETWEEN:
             return outside(
-                col,
+                value,
                 kw.get("min_value"),
                 kw.get("max_value"),
                 kw.get("strict_min", False),
                 kw.get("strict_max", False),
             )
         if self.type == REGEX:
-            return ~matches(col, kw["regex"])
+            return not_matches(value, kw["regex"])
         raise ValueError(f"{self.type} has no row predicate")
 
 
@@ -121,21 +120,27 @@ class TransactionRules:
     min_rows: int | None = 1
     max_rows: int | None = 10_000_000
 
-    def critical_present(self) -> Column:
+    def critical_present(self) -> str:
         return all_present(self.critical)
 
-    def critical_missing(self) -> Column:
+    def critical_missing(self) -> str:
         return any_null(self.critical)
 
-    def valid_row(self) -> Column:
+    def valid_region(self) -> str:
+        return matches("location_region", self.region_pattern)
+
+    def allowed_values(self) -> str:
+        return " AND ".join(in_set(ident(c), v) for c, v in self.allowed.items())
+
+    def valid_row(self) -> str:
         """The cleaning filter. A NULL outcome drops the row, as in any WHERE."""
         checks = [
             self.critical_present(),
-            F.col("amount") > 0,
-            matches(F.col("location_region"), self.region_pattern),
+            positive("amount"),
+            self.valid_region(),
+            self.allowed_values(),
         ]
-        checks += [in_set(F.col(c), v) for c, v in self.allowed.items()]
-        return reduce(and_, checks)
+        return " AND ".join(checks)
 
     def suite(self) -> list[Rule]:
         """The validation suite, in reporting order."""

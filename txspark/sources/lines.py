@@ -6,11 +6,12 @@ import sys
 from collections.abc import Iterable
 
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txspark.functions.numbers import strict_double
+from txspark.functions.sqltext import ident
 from txspark.functions.text import NULL_TOKENS, null_if_token
 from txspark.schema import RAW_SCHEMA, missing_columns
 from txspark.sources import bytesplit
@@ -64,12 +65,12 @@ def header_of(path: str, pattern: str = PATTERN, expected: list[str] | None = No
     return names
 
 
-def _typed(name: str, kind: T.DataType) -> Column:
-    text = F.col(f"`{name}`")
+def _typed(name: str, kind: T.DataType) -> str:
+    text = ident(name)
     if isinstance(kind, T.LongType):
-        return text.cast("bigint").alias(name)
+        return f"CAST({text} AS BIGINT) AS {text}"
     if isinstance(kind, T.DoubleType):
-        return strict_double(text, name).alias(name)
+        return f"{strict_double(text, name)} AS {text}"
     return text
 
 
@@ -91,15 +92,15 @@ def parse_csv(
     fields = T.StructType([T.StructField(n, T.StringType()) for n in header])
     options = {"mode": "FAILFAST", "escape": '"'}
 
-    def text(name: str) -> Column:
-        field = F.col(f"record.`{name}`")
+    def text(name: str) -> str:
+        field = f"record.{ident(name)}"
         if string_nulls or not isinstance(kinds[name], T.StringType):
-            return null_if_token(field, tokens).alias(name)
-        return F.coalesce(field, F.lit("")).alias(name)  # the parser reads "" as NULL
+            return f"{null_if_token(field, tokens)} AS {ident(name)}"
+        return f"coalesce({field}, '') AS {ident(name)}"  # the parser reads "" as NULL
 
     records = lines.select(F.from_csv("value", fields.toDDL(), options).alias("record"))
-    texts = records.select(*[text(n) for n in header])
-    return texts.select(*[_typed(n, kinds[n]) for n in header])
+    texts = records.selectExpr(*[text(n) for n in header])
+    return texts.selectExpr(*[_typed(n, kinds[n]) for n in header])
 
 
 def read_transactions(
