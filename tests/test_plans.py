@@ -12,6 +12,7 @@ from conftest import HEADER, clean_row, csv_line, raw_row
 from txspark.plans.clean import clean, cleaning_metrics
 from txspark.plans.quality import dq_suite_results, quality_profile
 from txspark.plans.tables import region_risk, top_receivers
+from txspark.rules import RULES
 from txspark.sources.lines import read_transactions
 from txspark.streaming.live import latest_sales
 
@@ -51,7 +52,10 @@ def test_cleaning_filters_before_its_only_shuffle(stored_raw):
     names = operators(text)
     assert names.count("Exchange") == 1
     assert names.index("Filter") > names.index("Exchange")
-    assert "GreaterThan(amount,0.0)" in text.split("PushedFilters")[1].split("\n")[0]
+    pushed = text.split("PushedFilters")[1].split("\n")[0]
+    assert "GreaterThan(amount,0.0)" in pushed
+    for column in RULES.critical:
+        assert f"IsNotNull({column})" in pushed
 
 
 def test_raw_metrics_shuffle_distinct_rows_once(stored_raw, stored_clean):

@@ -17,10 +17,12 @@ def clean(
 ) -> DataFrame:
     """Normalise, keep valid rows, drop exact duplicates. Works on batches and streams.
 
-    The filter looks at nothing but the row's own columns, so filtering before the
-    duplicates go gives the same rows as after, and only valid rows are shuffled.
+    The filters look at nothing but the row's own columns, so filtering before the
+    duplicates go gives the same rows as after, and only valid rows are shuffled. NULLs and
+    amounts are tested on the raw columns, where the test reaches the Parquet scan.
     """
-    valid = normalise(require_columns(raw)).where(rules.valid_row())
+    present = require_columns(raw).where(rules.valid_raw())
+    valid = normalise(present).where(rules.valid_values())
     return drop_exact_duplicates(valid, dedupe_within)
 
 

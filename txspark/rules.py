@@ -132,15 +132,14 @@ class TransactionRules:
     def allowed_values(self) -> str:
         return " AND ".join(in_set(ident(c), v) for c, v in self.allowed.items())
 
-    def valid_row(self) -> str:
-        """The cleaning filter. A NULL outcome drops the row, as in any WHERE."""
-        checks = [
-            self.critical_present(),
-            positive("amount"),
-            self.valid_region(),
-            self.allowed_values(),
-        ]
-        return " AND ".join(checks)
+    def valid_raw(self) -> str:
+        """The part of the cleaning filter that raw and clean columns answer alike:
+        normalisation never turns a value into NULL or NULL into a value."""
+        return f"{self.critical_present()} AND {positive('amount')}"
+
+    def valid_values(self) -> str:
+        """The part that needs clean spellings. A NULL outcome drops the row."""
+        return f"{self.valid_region()} AND {self.allowed_values()}"
 
     def suite(self) -> list[Rule]:
         """The validation suite, in reporting order."""
