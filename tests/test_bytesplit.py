@@ -17,11 +17,12 @@ from txspark.sources.bytesplit import (
     find_parts,
     last_line_end,
     plan_ranges,
+    range_bytes,
     read_header,
     read_range,
     split_header,
 )
-from txspark.sources.lines import range_bytes, read_lines
+from txspark.sources.lines import read_lines
 from txspark.sources.parts import list_parts, validate_parts
 
 

@@ -47,6 +47,17 @@ def test_a_cut_record_waits_for_its_next_part(follow, parts_dir):
     assert follow(folder, flush="true") == ["a1", "b22", "c3", "d"]
 
 
+def test_a_cut_header_is_never_data(follow, parts_dir):
+    folder = parts_dir("head")
+    assert follow(folder) == []
+    put(folder, 1, "er")
+    assert follow(folder) == []
+    put(folder, 2, ",two\na\nb")
+    assert follow(folder) == ["a"]
+    put(folder, 3, "c\n")
+    assert follow(folder) == ["a", "bc"]
+
+
 def test_ranges_do_not_matter(follow, parts_dir):
     folder = parts_dir("h\n" + "".join(f"r{i:03d}\n" for i in range(50)))
     assert follow(folder, rangeBytes=7) == [f"r{i:03d}" for i in range(50)]

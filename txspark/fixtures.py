@@ -83,7 +83,9 @@ def record_text(column: str) -> str:
 # One CSV record. No field holds a comma, a quote or a line break.
 RECORD = " || ',' || ".join(record_text(c) for c in COLUMNS)
 
-RECORDS_PER_PART = 997
+# Parts hold this many events, or more where that would make too many parts.
+MIN_EVENTS_PER_PART = 997
+MAX_PARTS = 20_000
 
 
 def part_name(number: int) -> str:
@@ -125,9 +127,14 @@ def number_texts(events_df: DataFrame, columns: list[str]) -> DataFrame:
     return _with_copies(events_df).selectExpr(*[f"{record_text(c)} AS {c}" for c in columns])
 
 
-def csv_records(events_df: DataFrame) -> DataFrame:
+def events_per_part(events_df: DataFrame) -> int:
+    last = events_df.selectExpr("coalesce(max(event_id), 0)").first()[0]
+    return max(MIN_EVENTS_PER_PART, last // MAX_PARTS + 1)
+
+
+def csv_records(events_df: DataFrame, width: int) -> DataFrame:
     """The raw relation as CSV records, with their place in the file sequence."""
-    part = f"event_id DIV {RECORDS_PER_PART}"
+    part = f"event_id DIV {width}"
     return _with_copies(events_df).selectExpr(
         "event_id", "copy", f"{part} AS part", f"{RECORD} AS record"
     )
@@ -135,14 +142,15 @@ def csv_records(events_df: DataFrame) -> DataFrame:
 
 def _byte_pieces(events_df: DataFrame) -> DataFrame:
     """Records cut so that every part file but the last ends inside a record."""
-    ends_part = f"event_id % {RECORDS_PER_PART} = {RECORDS_PER_PART - 1} AND copy = last_copy"
+    width = events_per_part(events_df)
+    ends_part = f"event_id % {width} = {width - 1} AND copy = last_copy"
     cut = "CAST(1 + event_id % (length(record) - 1) AS INT)"
     line = "concat(record, '\n')"
     pieces = f"""inline(CASE WHEN {ends_part} THEN array(
         struct(part, substr({line}, 1, {cut}) AS piece),
         struct(part + 1 AS part, substr({line}, {cut} + 1) AS piece))
       ELSE array(struct(part, {line} AS piece)) END)"""
-    rows = csv_records(events_df).selectExpr(
+    rows = csv_records(events_df, width).selectExpr(
         "*", f"CASE WHEN {DUPLICATED} THEN 2 ELSE 1 END AS last_copy"
     )
     return rows.selectExpr("event_id", "copy", pieces)

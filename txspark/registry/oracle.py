@@ -10,9 +10,10 @@ from txspark import rules as R
 from txspark.fixtures import (
     ADDRESSES,
     DUPLICATED,
+    MAX_PARTS,
+    MIN_EVENTS_PER_PART,
     RAW_EXPRESSIONS,
     RECORD,
-    RECORDS_PER_PART,
     record_text,
 )
 from txspark.functions.text import NULL_TOKENS
@@ -203,11 +204,12 @@ PARTS = f"""records AS (
     SELECT event_id, {RECORD} AS record, 1 AS copy FROM events
     UNION ALL SELECT event_id, {RECORD}, 2 FROM events WHERE {DUPLICATED}),
   lines AS (
-    SELECT event_id // {RECORDS_PER_PART} AS part, length(record) + 1 AS size,
+    SELECT event_id // width AS part, length(record) + 1 AS size,
       1 + event_id % (length(record) - 1) AS cut,
-      event_id % {RECORDS_PER_PART} = {RECORDS_PER_PART - 1}
+      event_id % width = width - 1
         AND copy = CASE WHEN {DUPLICATED} THEN 2 ELSE 1 END AS is_cut
-    FROM records),
+    FROM (SELECT *, (SELECT greatest({MIN_EVENTS_PER_PART}, max(event_id) // {MAX_PARTS} + 1)
+      FROM events) AS width FROM records)),
   pieces AS (
     SELECT part, CASE WHEN is_cut THEN cut ELSE size END AS size FROM lines
     UNION ALL SELECT part + 1, size - cut FROM lines WHERE is_cut

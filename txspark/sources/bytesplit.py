@@ -9,9 +9,9 @@ than one block, and nothing passes through the driver but names and sizes.
 Executors pickle this module by value and need no installed package. It therefore
 uses nothing but numpy, pyarrow and pyspark's public data source API.
 
-Options: `pattern` (part names), `rangeBytes` (size of a Spark partition), `header` (skip
-the first line), `withPosition` (add each line's byte position), and for streams `flush`
-(emit a last record that has no line end).
+Options: `pattern` (part names), `rangeBytes` (size of a Spark partition; by default it
+follows the input size and `cores`), `header` (skip the first line), `withPosition` (add each
+line's byte position), and for streams `flush` (emit a last record that has no line end).
 """
 
 from __future__ import annotations
@@ -33,7 +33,9 @@ from pyspark.sql.datasource import (
 )
 
 PATTERN = "part_*.csv"
-RANGE_BYTES = 64 << 20
+MIN_RANGE_BYTES = 1 << 20
+MAX_RANGE_BYTES = 128 << 20
+MAX_RANGES = 50_000
 BLOCK_BYTES = 4 << 20
 # Past its range a task only needs the rest of one line, so it reads in small steps.
 TAIL_BYTES = 64 << 10
@@ -93,6 +95,14 @@ def fingerprint(parts: Sequence[Part]) -> str:
     return digest.hexdigest()
 
 
+def range_bytes(total: int, cores: int) -> int:
+    """Range size: all cores busy on small input, 128 MB on large, and on very large input
+    no more tasks than a driver schedules well. A task streams its range, so a larger one
+    costs no memory."""
+    even = -(-total // (3 * cores))
+    return max(min(max(even, MIN_RANGE_BYTES), MAX_RANGE_BYTES), -(-total // MAX_RANGES))
+
+
 def plan_ranges(
     parts: Sequence[Part], start: int, end: int, range_bytes: int
 ) -> list[InputPartition]:
@@ -238,9 +248,11 @@ def read_range(
         yield np.array([position]), _pack(tail, np.array([0]), np.array([len(tail)]))
 
 
-def read_header(path: str, pattern: str = PATTERN) -> tuple[str, int]:
+def read_header(
+    path: str, pattern: str = PATTERN, parts: Sequence[Part] | None = None
+) -> tuple[str, int]:
     """The first non-empty line, and the position just behind it."""
-    parts = find_parts(path, pattern)
+    parts = parts or find_parts(path, pattern)
     total = parts[-1].end
     source = VirtualFile(path, pattern, parts, total)
     begin = len(BOM) if _peek(source, 0, len(BOM)) == BOM else 0
@@ -287,17 +299,24 @@ class _Options:
             raise ValueError("bytesplit needs a folder: load(path)")
         self.path = options["path"].rstrip("/")
         self.pattern = options.get("pattern", PATTERN)
-        self.range_bytes = int(options.get("rangeBytes", RANGE_BYTES))
-        if self.range_bytes < 1:
+        self.fixed_range = int(options.get("rangeBytes", 0))
+        self.cores = max(int(options.get("cores", 1)), 1)
+        if self.fixed_range < 0:
             raise ValueError("rangeBytes must be positive")
         self.header = options.get("header", "true").lower() == "true"
         self.flush = options.get("flush", "false").lower() == "true"
         self.with_position = options.get("withPosition", "false").lower() == "true"
 
-    def data_start(self) -> int:
+    def parts(self) -> list[Part]:
+        return find_parts(self.path, self.pattern)
+
+    def ranges(self, parts: Sequence[Part], start: int, end: int) -> list[InputPartition]:
+        size = self.fixed_range or range_bytes(end - start, self.cores)
+        return plan_ranges(parts, start, end, size)
+
+    def data_start(self, parts: Sequence[Part]) -> int:
         if self.header:
-            return read_header(self.path, self.pattern)[1]
-        parts = find_parts(self.path, self.pattern)
+            return read_header(self.path, self.pattern, parts)[1]
         source = VirtualFile(self.path, self.pattern, parts, parts[-1].end)
         return len(BOM) if _peek(source, 0, len(BOM)) == BOM else 0
 
@@ -322,9 +341,8 @@ class _RangeReader:
 
 class ByteSplitReader(_RangeReader, DataSourceReader):
     def partitions(self) -> Sequence[InputPartition]:
-        opts = self.options
-        parts = find_parts(opts.path, opts.pattern)
-        ranges = plan_ranges(parts, opts.data_start(), parts[-1].end, opts.range_bytes)
+        parts = self.options.parts()
+        ranges = self.options.ranges(parts, self.options.data_start(parts), parts[-1].end)
         return ranges or [InputPartition((0, 0, 0, True, []))]
 
 
@@ -337,13 +355,26 @@ class ByteSplitStreamReader(_RangeReader, DataSourceStreamReader):
     changed or arrived out of order is an error and never silently wrong data.
     """
 
+    def __init__(self, options: _Options) -> None:
+        super().__init__(options)
+        self._data_start: int | None = None
+
+    def _floor(self, parts: Sequence[Part]) -> int:
+        """Where data starts, found once the header line is complete."""
+        if self._data_start is None:
+            position = self.options.data_start(parts)
+            if position < parts[-1].end:
+                self._data_start = position
+            return position
+        return self._data_start
+
     def initialOffset(self) -> dict:
-        return self._offset(self.options.data_start(), [], False)
+        return self._offset(self._floor(self.options.parts()), [], False)
 
     def latestOffset(self) -> dict:
         opts = self.options
-        parts = find_parts(opts.path, opts.pattern)
-        floor = opts.data_start()
+        parts = opts.parts()
+        floor = self._floor(parts)
         position = last_line_end(opts.path, opts.pattern, parts, floor)
         total = max(parts[-1].end, floor)
         if opts.flush and position < total:
@@ -360,7 +391,7 @@ class ByteSplitStreamReader(_RangeReader, DataSourceStreamReader):
         }
 
     def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
-        parts = find_parts(self.options.path, self.options.pattern)
+        parts = self.options.parts()
         for offset in (start, end):
             if fingerprint(parts[: offset["parts"]]) != offset["fingerprint"]:
                 raise ValueError(
@@ -369,9 +400,9 @@ class ByteSplitStreamReader(_RangeReader, DataSourceStreamReader):
         if start["unfinished"] and end["position"] > start["position"]:
             raise ValueError("More bytes arrived after the last record had been flushed")
         covered = parts[: end["parts"]]
-        return plan_ranges(
-            covered, start["position"], end["position"], self.options.range_bytes
-        )
+        # An offset taken while the header was incomplete lies inside the header.
+        begin = max(start["position"], self._floor(covered))
+        return self.options.ranges(covered, begin, end["position"])
 
 
 class ByteSplitSource(DataSource):

@@ -15,12 +15,7 @@ from txspark.functions.sqltext import ident
 from txspark.functions.text import NULL_TOKENS, null_if_token
 from txspark.schema import RAW_SCHEMA, missing_columns
 from txspark.sources import bytesplit
-from txspark.sources.bytesplit import PATTERN, find_parts, read_header, split_header
-
-MIN_RANGE_BYTES = 1 << 20
-MAX_RANGE_BYTES = 128 << 20
-MAX_RANGES = 50_000
-
+from txspark.sources.bytesplit import PATTERN, read_header, split_header
 
 def register(spark: SparkSession) -> None:
     """Make `format("bytesplit")` known to a session."""
@@ -28,22 +23,12 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(bytesplit.ByteSplitSource)
 
 
-def range_bytes(total: int, cores: int) -> int:
-    """Range size: all cores busy on small input, 128 MB on large, and on very large input
-    no more tasks than a driver schedules well. A task streams its range, so a larger one
-    costs no memory."""
-    even = -(-total // (3 * cores))
-    return max(min(max(even, MIN_RANGE_BYTES), MAX_RANGE_BYTES), -(-total // MAX_RANGES))
-
-
 def read_lines(
     spark: SparkSession, path: str, pattern: str = PATTERN, **options: object
 ) -> DataFrame:
     """The data lines of the parts in `path` as `value`, header excluded by position."""
     register(spark)
-    total = find_parts(path, pattern)[-1].end
-    size = range_bytes(total, spark.sparkContext.defaultParallelism)
-    reader = spark.read.format("bytesplit").option("rangeBytes", size)
+    reader = spark.read.format("bytesplit").option("cores", spark.sparkContext.defaultParallelism)
     return reader.option("pattern", pattern).options(**options).load(path)
 
 
@@ -52,7 +37,8 @@ def stream_lines(
 ) -> DataFrame:
     """The same lines as a stream that follows new parts."""
     register(spark)
-    reader = spark.readStream.format("bytesplit").option("rangeBytes", MAX_RANGE_BYTES)
+    reader = spark.readStream.format("bytesplit")
+    reader = reader.option("cores", spark.sparkContext.defaultParallelism)
     return reader.option("pattern", pattern).options(**options).load(path)
 
 
