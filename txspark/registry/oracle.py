@@ -54,21 +54,15 @@ def _from_csv(column: str, string_nulls: bool = False) -> str:
 CSV = f"raw AS ({_copies(', '.join(_from_csv(c) for c in COLUMNS))})"
 CSV_NULLS = f"raw AS ({_copies(', '.join(_from_csv(c, True) for c in COLUMNS))})"
 
-NORMAL = """normal AS (
-  SELECT make_timestamp(timestamp * 1000000) AS timestamp,
-    lower(trim(sending_address)) AS sending_address,
-    lower(trim(receiving_address)) AS receiving_address,
-    amount,
-    lower(trim(transaction_type)) AS transaction_type,
-    trim(location_region) AS location_region,
-    trim(ip_prefix) AS ip_prefix,
-    CAST(login_frequency AS INTEGER) AS login_frequency,
-    CAST(session_duration AS INTEGER) AS session_duration,
-    trim(purchase_pattern) AS purchase_pattern,
-    trim(age_group) AS age_group,
-    risk_score,
-    lower(trim(anomaly)) AS anomaly
-  FROM raw)"""
+# Columns whose clean form differs from the raw one.
+_CLEAN_FORMS = {
+    "timestamp": "make_timestamp({} * 1000000)",
+    **dict.fromkeys([*ADDRESSES, "transaction_type", "anomaly"], "lower(trim({}))"),
+    **dict.fromkeys(["location_region", "ip_prefix", "purchase_pattern", "age_group"], "trim({})"),
+    **dict.fromkeys(["login_frequency", "session_duration"], "CAST({} AS INTEGER)"),
+}
+_NORMAL_COLUMNS = ", ".join(f"{_CLEAN_FORMS.get(c, '{}').format(c)} AS {c}" for c in COLUMNS)
+NORMAL = f"normal AS (SELECT {_NORMAL_COLUMNS} FROM raw)"
 
 
 def _quoted(values) -> str:
