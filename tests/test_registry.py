@@ -10,15 +10,16 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-import __spark_entry__ as contract  # noqa: E402
+from txspark.registry import oracle as registered_sql  # noqa: E402
+from txspark.registry import queries as registered  # noqa: E402
 
 duckdb = pytest.importorskip("duckdb")
 
 DATA = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="needs the given tables")
 
-QUERIES = contract.queries()
-EXPECTED = contract.oracle_sql()
+QUERIES = registered.queries()
+EXPECTED = registered_sql.oracle_sql()
 
 
 @pytest.fixture(scope="module")
