@@ -46,3 +46,24 @@ def fresh(df: DataFrame, *wanted: str) -> list[str]:
 def quoted(names: Iterable[str]) -> list[Column]:
     """Columns by exact name, also where the name holds dots."""
     return [F.col("`" + n.replace("`", "``") + "`") for n in names]
+
+
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """The frame with columns that are computed exactly once for each row.
+
+    Plain projections may be merged and filters pushed below them, and then repeat what they
+    refer to; nothing moves through the one-row generator used here.
+    """
+    made = F.struct(*[c.alias(n) for n, c in columns.items()])
+    return df.select("*", F.inline(F.array(made)))
+
+
+def bounded_sample(rows: DataFrame, h: str, most: int) -> DataFrame:
+    """At most `most` rows, the same ones on every run, for training.
+
+    Rows far above the expected cut are left out before the sort, so that each task hands on
+    its share of the sample and not `most` rows.
+    """
+    share = 2 * (most + 100) / max(rows.select(h).count(), 1)
+    near = rows if share >= 1 else rows.where(F.pmod(F.xxhash64(h), F.lit(1 << 30)) < int(share * (1 << 30)))
+    return near.orderBy(*rows.columns).limit(most)

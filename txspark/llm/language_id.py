@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from txspark.llm.common import bounded_sample
+
 UNDETERMINED = "und"
 _ASCII_LETTER = re.compile("[A-Za-z]")
 
@@ -25,7 +27,7 @@ _ASCII_LETTER = re.compile("[A-Za-z]")
 class Shape:
     """Size of the network and of its training.
 
-    max_rows bounds the labelled rows used for training (those with the smallest id hashes),
+    max_rows bounds the labelled rows used for training (chosen by id hash),
     windows_per_row the text windows taken from each.
     """
 
@@ -160,13 +162,12 @@ def train(docs: DataFrame, text: str, label: str, key: str, shape: Shape = Shape
         )
         for i in range(shape.windows_per_row)
     ]
-    sample = (
-        docs.where(body.rlike(r"\p{L}") & F.col(label).isNotNull())
-        .select(F.xxhash64(F.col(key).cast("string")).alias("h"), F.col(label).alias("label"), F.array_distinct(F.array(*spots)).alias("spots"))
-        .orderBy("h", "label", "spots")
-        .limit(shape.max_rows)
-        .collect()
+    rows = docs.where(body.rlike(r"\p{L}") & F.col(label).isNotNull()).select(
+        F.xxhash64(F.col(key).cast("string")).alias("h"),
+        F.col(label).alias("label"),
+        F.array_distinct(F.array(*spots)).alias("spots"),
     )
+    sample = bounded_sample(rows, "h", shape.max_rows).collect()
     if not sample:
         return None
     languages = sorted({r["label"] for r in sample})

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txspark.llm import language_id
-from txspark.llm.common import held_out, read
+from txspark.llm import bpe, language_id, packing, pii, quality_rules
+from txspark.llm.common import held_out, read, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,9 +22,52 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), F.col("p.score").alias("score"))
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    ids = read(spark, sf_dir, "documents").select("doc_id", bpe.encode(F.col("text"), ranks, pattern).alias("ids"))
+    return ids.select("doc_id", "ids", bpe.decode(F.col("ids"), ranks, pattern).alias("decoded")).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    counted = quality_rules.histograms(quality_rules.base_counts(docs, "text")).drop("text")
+    counted = stored(counted, "quality")
+    refs = quality_rules.references(counted, "lang")
+    return quality_rules.judge(counted, refs, quality_rules.Limits()).drop("lang", "class_counts", "word_counts")
+
+
+SEQUENCE_TOKENS = 2048
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), SEQUENCE_TOKENS)
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = pii.train(docs, "text")
+    out = pii.detect(docs.select("doc_id", "text"), "text", model)
+    return out.select(
+        "doc_id",
+        *[f"n_{k}" for k in pii.KINDS],
+        F.sha2("base_spans", 256).alias("base_sha256"),
+        "spans",
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_language_id": op1_language_id,
+        "op2_byte_bpe": op2_byte_bpe,
+        "op3_quality_rules": op3_quality_rules,
+        "op5_packing": op5_packing,
+        "op10_pii": op10_pii,
     }
 
 
