@@ -37,13 +37,18 @@ CLASSES = [r"\p{Ll}", r"\p{Lu}", r"\p{N}", r"\s", r"[.,;:!?'()\"-]"]
 
 @dataclass(frozen=True)
 class Limits:
-    """Distances above which a document fails, and the sizes below which it is not judged."""
+    """Distances above which a document fails, and the sizes below which it is not judged.
+
+    The limit of the word distance is word_distance + word_noise / sqrt(words): a short
+    sample of the same language lies farther from it by chance.
+    """
 
     least_words: int = 10
     repeat_percent: int = 20
-    class_distance: float = 0.30
+    class_distance: float = 0.32
     class_characters: int = 200
-    word_distance: float = 0.60
+    word_distance: float = 0.16
+    word_noise: float = 1.0
     word_count: int = 60
 
 
@@ -110,6 +115,12 @@ def base_counts(docs: DataFrame, text: str) -> DataFrame:
     ).drop(body, words, lines, windows, placed, spots)
 
 
+def words_of(docs: DataFrame, text: str) -> DataFrame:
+    """Adds _words and _body, which is all that the histograms need."""
+    out = once(docs, _body=F.coalesce(F.col(text), F.lit("")))
+    return once(out, _words=F.array_remove(F.split("_body", WORD_BREAK), ""))
+
+
 def histograms(docs: DataFrame) -> DataFrame:
     """Adds class_counts and word_counts (the last bin holds all other words) from _words
     and _body, which go."""
@@ -189,6 +200,23 @@ def judge(docs: DataFrame, refs: References, limits: Limits) -> DataFrame:
         word_distance=F.when(F.col("n_words") >= limits.word_count, nearest("word_counts", refs.words)),
     )
     far = F.coalesce(F.col("class_distance") > limits.class_distance, F.lit(False)) | F.coalesce(
-        F.col("word_distance") > limits.word_distance, F.lit(False)
+        F.col("word_distance") > limits.word_distance + limits.word_noise / F.sqrt("n_words"), F.lit(False)
     )
     return out.withColumn("kept", ~F.col("base_failed") & ~far)
+
+
+def keep_documents(docs: DataFrame, text: str, lang: str, limits: Limits = Limits()) -> DataFrame:
+    """The documents that pass all rules, with their columns as they were.
+
+    Null, empty and short texts fail by the number of words. Any names of other columns are
+    fine: the row is packed away while it is judged.
+    """
+    packed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+        F.col(text).alias("text"),
+        F.col(lang).alias("lang"),
+    )
+    plain = packed.select("text", "lang")
+    refs = references(histograms(words_of(plain, "text")), "lang")
+    judged = judge(histograms(base_counts(packed, "text")), refs, limits)
+    return judged.where("kept").select("doc.*")
