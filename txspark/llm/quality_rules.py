@@ -47,7 +47,7 @@ class Limits:
     repeat_percent: int = 20
     class_distance: float = 0.32
     class_characters: int = 200
-    word_distance: float = 0.16
+    word_distance: float = 0.17
     word_noise: float = 1.0
     word_count: int = 60
 

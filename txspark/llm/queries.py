@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txspark.llm import bpe, language_id, packing, pii, quality_rules
+from txspark.llm import bpe, cover_tree, language_id, ngram_join, packing, pii, quality_rules
 from txspark.llm.common import held_out, read, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,14 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), SEQUENCE_TOKENS)
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+def op7_cover_tree_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = pii.train(docs, "text")
@@ -67,6 +75,8 @@ def queries() -> dict[str, Query]:
         "op2_byte_bpe": op2_byte_bpe,
         "op3_quality_rules": op3_quality_rules,
         "op5_packing": op5_packing,
+        "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
+        "op7_cover_tree_dedup": op7_cover_tree_dedup,
         "op10_pii": op10_pii,
     }
 
