@@ -21,60 +21,69 @@ from pyspark.sql import functions as F
 from txspark.llm.chunks import space_chunks
 from txspark.llm.common import fresh, stored
 
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES = 300_000
 PIECES_PER_BUCKET = 100_000
 LEAST_BUCKETS = 256
 TRIPLES_PER_LENGTH = 12
 SWEEPS = 25
 
 
-class _Tokens:
-    """Packed ids of texts, from a tokenizer file of the `tokenizers` library."""
+class _Words(dict):
+    """Packed ids by word of the tokenizer's pre-tokenizer."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.tokenize = model.tokenize
+
+    def __missing__(self, word: str) -> bytes:
+        packed = np.array([t.id for t in self.tokenize(word)], dtype="<u4").tobytes()
+        if len(self) < CACHE_ENTRIES:
+            self[word] = packed
+        return packed
+
+
+class _Tokens(dict):
+    """Packed ids of texts, by the parts of a tokenizer of the `tokenizers` library: its
+    pre-tokenizer and its model, without special tokens. As a dictionary it holds chunks,
+    their leading space implied."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # special strings in a text are text
-        self.known: dict[str, bytes] = {}
+        super().__init__()
+        tokenizer = Tokenizer.from_file(path)
+        self.words = _Words(tokenizer.model)
+        self.split = tokenizer.pre_tokenizer.pre_tokenize_str
+
+    def _ids(self, text: str) -> bytes:
+        return b"".join([self.words[word] for word, _ in self.split(text)])
 
-    def _pack(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
+    def __missing__(self, chunk: str) -> bytes:
+        packed = self._ids(" " + chunk)
+        if len(self) < CACHE_ENTRIES:
+            self[chunk] = packed
+        return packed
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [space_chunks(t) for t in texts]
-        wanted = {c for chunks in cut if chunks for c in chunks[1:]}
-        new = [c for c in wanted if c not in self.known]
-        if len(self.known) + len(new) > CACHE_ENTRIES:
-            self.known = {c: self.known[c] for c in wanted if c in self.known}
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            self.known.update(zip(part, self._pack([" " + c for c in part]), strict=True))
-        heads = self._pack([t if c is None else c[0] for t, c in zip(texts, cut, strict=True)])
-        get = self.known.__getitem__
-        return [h if c is None else h + b"".join(map(get, c[1:])) for h, c in zip(heads, cut, strict=True)]
+    def encode(self, text: str) -> bytes:
+        chunks = space_chunks(text)
+        if chunks is None:
+            return self._ids(text)
+        return self._ids(chunks[0]) + b"".join(map(self.__getitem__, chunks[1:]))
 
 
 @lru_cache(maxsize=1)
 def _tokens(path: str) -> _Tokens:
-    import os
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     return _Tokens(path)
 
 
-def token_ids(text: Column, tokenizer_path: str, rows_at_once: int = 256) -> Column:
+def token_ids(text: Column, tokenizer_path: str) -> Column:
     """Ids of every whole text as little-endian unsigned 32-bit integers; null is empty text."""
 
     @F.pandas_udf("binary")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tokens = _tokens(tokenizer_path)
         for batch in batches:
-            texts, out = batch.tolist(), []
-            for at in range(0, len(texts), rows_at_once):
-                out += tokens.encode(texts[at : at + rows_at_once])
-            yield pd.Series(out, dtype=object)
+            yield pd.Series([tokens.encode(t) for t in batch], dtype=object)
 
     return run(F.coalesce(text, F.lit("")))
 
