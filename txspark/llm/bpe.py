@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from txspark.llm.chunks import space_chunks
 
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 350_000
 # Unicode's White_Space, which the split pattern means by \s.
 WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
