@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txspark.llm import bpe, cover_tree, language_id, ngram_join, packing, pii, quality_rules
+from txspark.llm import (
+    bpe,
+    cover_tree,
+    factorisation,
+    language_id,
+    ngram_join,
+    packing,
+    pii,
+    quality_rules,
+    secret_scan,
+    sharding,
+)
 from txspark.llm.common import held_out, read, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +52,13 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(counted, refs, quality_rules.Limits()).drop("lang", "class_counts", "word_counts")
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sharding.shard_documents(read(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 SEQUENCE_TOKENS = 2048
 
 
@@ -57,6 +75,28 @@ def op7_cover_tree_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cover_tree.near_duplicates(read(spark, sf_dir, "embeddings"))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    labelled = secret_scan.findings(docs, "text", "source").select(F.explode("candidates").alias("x"))
+    model = secret_scan.train(labelled.select("x", secret_scan.known_label().alias("label")))
+    out = secret_scan.scan(docs, "text", "source", model)
+    spelled = "array_join(transform(secrets, x -> concat(x.s, ':', x.e)), ',')"
+    return out.select("doc_id", "n_candidates", "n_secrets", F.expr(spelled).alias("secrets"))
+
+
+QUALITY_CUT = 0.7
+
+
+def op9_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").withColumn("held_out", held_out(F.col("doc_id")))
+    labels = read(spark, sf_dir, "labels").where(~held_out(F.col("doc_id")))
+    machine = factorisation.train(docs, labels, "text", "n_chars", "doc_id", "quality")
+    scored = docs.select(
+        "doc_id", "held_out", factorisation.score(machine, F.col("text"), F.col("n_chars")).alias("score")
+    )
+    return scored.withColumn("predicted", (F.col("score") >= QUALITY_CUT).cast("int"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = pii.train(docs, "text")
@@ -69,15 +109,25 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_language_id": op1_language_id,
         "op2_byte_bpe": op2_byte_bpe,
         "op3_quality_rules": op3_quality_rules,
+        "op4_sharding": op4_sharding,
         "op5_packing": op5_packing,
         "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
         "op7_cover_tree_dedup": op7_cover_tree_dedup,
+        "op8_secret_scan": op8_secret_scan,
+        "op9_factorisation_machine": op9_factorisation_machine,
         "op10_pii": op10_pii,
+        "pipeline": pipeline,
     }
 
 
