@@ -26,14 +26,15 @@ DIMENSIONS = ["bytes", "tokens", "rows"]
 class Plan:
     """A group over cut_share of a shard's target is cut into cut_parts; units over
     large_share are placed centrally, so there are at most shards * dimensions / large_share
-    of these."""
+    of these. weights: how much room left in each dimension counts in the dot product;
+    sizes are to be equal first of all, tokens and rows as nearly as that allows."""
 
     shards: int = 8
+    weights: tuple[float, ...] = (64.0, 1.0, 1.0)
     cut_share: float = 0.5
     cut_parts: int = 64
     large_share: float = 0.001
-    units_per_bucket: int = 50_000
-    least_buckets: int = 32
+    units_per_bucket: int = 5_000
     rows_per_slot_bucket: int = 100_000
     least_slot_buckets: int = 64
 
@@ -91,20 +92,21 @@ def shard_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", pl
         rows = rows.withColumn("unit", F.when(F.col("unit").isin(hot), F.concat("unit", part)).otherwise(F.col("unit")))
     units = stored(rows.groupBy("unit").agg(*sums), "units")
     large = units.where(over(plan.large_share)).orderBy("unit").collect()
-    residual = np.repeat((target / totals)[None, :], plan.shards, axis=0)
-    vectors = np.array([[r[d] for d in DIMENSIONS] for r in large], float).reshape(-1, len(DIMENSIONS)) / totals
+    unit_of = totals / np.sqrt(plan.weights)
+    residual = np.repeat((target / unit_of)[None, :], plan.shards, axis=0)
+    vectors = np.array([[r[d] for d in DIMENSIONS] for r in large], float).reshape(-1, len(DIMENSIONS)) / unit_of
     shards = place(vectors, residual)
     spark = docs.sparkSession
     central = spark.createDataFrame(
         [(bytearray(r["unit"]), int(s)) for r, s in zip(large, shards, strict=True)], "unit binary, shard int"
     )
     residual = np.maximum(residual, 0)
-    rest = np.maximum(1 - vectors.sum(axis=0), 1e-12)
-    buckets = max(plan.least_buckets, math.ceil(units.count() / plan.units_per_bucket))
+    rest = np.maximum(totals / unit_of - vectors.sum(axis=0), 1e-12)
+    buckets = max(1, math.ceil(units.count() / plan.units_per_bucket))
 
     def pack(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("unit")
-        sizes = group[DIMENSIONS].to_numpy(float) / totals
+        sizes = group[DIMENSIONS].to_numpy(float) / unit_of
         room = residual * (sizes.sum(axis=0) / rest)
         return pd.DataFrame({"unit": group["unit"], "shard": place(sizes, room).astype(np.int32)})
 
