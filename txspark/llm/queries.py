@@ -14,6 +14,7 @@ from txspark.llm import (
     factorisation,
     language_id,
     ngram_join,
+    oracle,
     packing,
     pii,
     quality_rules,
@@ -49,7 +50,9 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = quality_rules.histograms(quality_rules.base_counts(docs, "text")).drop("text")
     counted = stored(counted, "quality")
     refs = quality_rules.references(counted, "lang")
-    return quality_rules.judge(counted, refs, quality_rules.Limits()).drop("lang", "class_counts", "word_counts")
+    return quality_rules.judge(counted, refs, quality_rules.Limits()).drop(
+        "lang", "class_counts", "word_counts", "class_distance", "word_distance"
+    )
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,4 +135,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.oracle_sql()
