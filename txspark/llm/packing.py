@@ -10,6 +10,8 @@ patterns. Spark then ranks the pieces of each length and hands every rank its pl
 from __future__ import annotations
 
 import math
+import re
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,6 +30,17 @@ TRIPLES_PER_LENGTH = 12
 SWEEPS = 25
 
 
+_PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+([.,]?)").fullmatch
+
+
+def _byte_spelling() -> dict[int, int]:
+    """The characters by which byte-level tokenizers spell bytes: printable bytes as they
+    are, the others as characters from 256 on, in order."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: 256 + i for i, b in enumerate(hidden)}
+
+
 class _Words(dict):
     """Packed ids by word of the tokenizer's pre-tokenizer."""
 
@@ -54,12 +67,22 @@ class _Tokens(dict):
         tokenizer = Tokenizer.from_file(path)
         self.words = _Words(tokenizer.model)
         self.split = tokenizer.pre_tokenizer.pre_tokenize_str
+        self.spelling = _byte_spelling()
 
     def _ids(self, text: str) -> bytes:
         return b"".join([self.words[word] for word, _ in self.split(text)])
 
+    def _word(self, word: str) -> bytes:
+        return self.words[word.encode().decode("latin-1").translate(self.spelling)]
+
     def __missing__(self, chunk: str) -> bytes:
-        packed = self._ids(" " + chunk)
+        # Latin words, alone or before one mark, need no pre-tokenizer
+        if plain := _PLAIN(chunk):
+            mark = plain[1]
+            packed = self._word(" " + chunk[: len(chunk) - len(mark)])
+            packed += self.words[mark] if mark else b""
+        else:
+            packed = self._ids(" " + chunk)
         if len(self) < CACHE_ENTRIES:
             self[chunk] = packed
         return packed
@@ -76,50 +99,38 @@ def _tokens(path: str) -> _Tokens:
     return _Tokens(path)
 
 
-def token_ids(text: Column, tokenizer_path: str) -> Column:
-    """Ids of every whole text as little-endian unsigned 32-bit integers; null is empty text."""
+PIECE = "struct<piece: int, start: long, length: long, ids_crc32: long, ids: binary>"
 
-    @F.pandas_udf("binary")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        tokens = _tokens(tokenizer_path)
-        for batch in batches:
-            yield pd.Series([tokens.encode(t) for t in batch], dtype=object)
 
-    return run(F.coalesce(text, F.lit("")))
+def cut(packed: bytes, capacity: int, end_id: int, with_ids: bool) -> list[dict]:
+    """The pieces of a document's packed ids with the end id appended. Only longer documents
+    than the capacity are cut, and all pieces but the first are then full."""
+    packed += end_id.to_bytes(4, "little")
+    n = len(packed) // 4
+    extra = -(-n // capacity) - 1
+    first = n - extra * capacity
+    starts = [0, *range(first, n, capacity)]
+    out = []
+    for k, start in enumerate(starts):
+        length = first if k == 0 else capacity
+        ids = packed[4 * start : 4 * (start + length)]
+        out.append({"piece": k, "start": start, "length": length, "ids_crc32": zlib.crc32(ids), "ids": ids if with_ids else None})
+    return out
 
 
-def cut_pieces(docs: DataFrame, ids: str, capacity: int, end_id: int = 0) -> DataFrame:
-    """One row per piece in place of the packed ids: piece, start, length, piece_ids.
+def token_pieces(text: Column, tokenizer_path: str, capacity: int, end_id: int = 0, with_ids: bool = False) -> Column:
+    """The pieces of every whole text as an array of PIECE; a null text is an empty one.
 
-    The end id is appended to every document. Only documents longer than the capacity are
-    cut; all pieces but the first are then full.
+    ids are little-endian unsigned 32-bit integers, left out unless asked for.
     """
-    n, first, whole = fresh(docs, "n", "first", "whole")
-    size = F.lit(capacity).cast("long")
-    tail = F.lit(end_id.to_bytes(4, "little"))
-    extra = F.ceil(F.col(n) / size) - 1
-    at = lambda k: F.when(k == 0, F.lit(0).cast("long")).otherwise(F.col(first) + (k - 1) * size)
-    length = lambda k: F.when(k == 0, F.col(first)).otherwise(size)
-    kept = [c for c in docs.columns if c != ids]
-    return (
-        docs.withColumn(whole, F.concat(F.col(ids), tail))
-        .withColumn(n, (F.octet_length(whole) / 4).cast("long"))
-        .withColumn(first, F.col(n) - extra * size)
-        .withColumn(
-            ids,
-            F.transform(
-                F.sequence(F.lit(0).cast("long"), extra),
-                lambda k: F.struct(
-                    k.cast("int").alias("piece"),
-                    at(k).alias("start"),
-                    length(k).alias("length"),
-                    F.substring(F.col(whole), (at(k) * 4 + 1).cast("int"), (length(k) * 4).cast("int")).alias("piece_ids"),
-                ),
-            ),
-        )
-        .select(*kept, F.explode(ids).alias(ids))
-        .select(*kept, f"{ids}.*")
-    )
+
+    @F.pandas_udf(f"array<{PIECE}>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        tokens = _tokens(tokenizer_path)
+        for batch in batches:
+            yield pd.Series([cut(tokens.encode(t), capacity, end_id, with_ids) for t in batch], dtype=object)
+
+    return run(F.coalesce(text, F.lit("")))
 
 
 def enumerate_patterns(lengths: list[int], capacity: int) -> list[tuple[int, ...]]:
@@ -283,8 +294,6 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int, text: st
     Null and empty texts are one piece that holds only the end id. Repeated rows are packed
     as often as they stand there. Other columns are left out.
     """
-    ids = docs.select(F.col(key).alias("doc_id"), token_ids(F.col(text), tokenizer_path).alias("ids"))
-    pieces = cut_pieces(ids, "ids", capacity).select(
-        "doc_id", "piece", "start", "length", F.crc32("piece_ids").alias("ids_crc32")
-    )
+    cut_up = token_pieces(F.col(text), tokenizer_path, capacity)
+    pieces = docs.select(F.col(key).alias("doc_id"), F.explode(cut_up).alias("p")).select("doc_id", "p.*").drop("ids")
     return pack(stored(pieces, "pieces"), capacity).withColumnRenamed("doc_id", key)
