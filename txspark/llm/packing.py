@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -30,7 +31,7 @@ TRIPLES_PER_LENGTH = 12
 SWEEPS = 25
 
 
-_PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+([.,]?)").fullmatch
+_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,]?)").fullmatch
 
 
 def _byte_spelling() -> dict[int, int]:
@@ -49,7 +50,8 @@ class _Words(dict):
         self.tokenize = model.tokenize
 
     def __missing__(self, word: str) -> bytes:
-        packed = np.array([t.id for t in self.tokenize(word)], dtype="<u4").tobytes()
+        ids = [t.id for t in self.tokenize(word)]
+        packed = struct.pack(f"<{len(ids)}I", *ids)
         if len(self) < CACHE_ENTRIES:
             self[word] = packed
         return packed
@@ -68,19 +70,20 @@ class _Tokens(dict):
         self.words = _Words(tokenizer.model)
         self.split = tokenizer.pre_tokenizer.pre_tokenize_str
         self.spelling = _byte_spelling()
+        self.space = chr(self.spelling[32])
 
     def _ids(self, text: str) -> bytes:
         return b"".join([self.words[word] for word, _ in self.split(text)])
 
-    def _word(self, word: str) -> bytes:
-        return self.words[word.encode().decode("latin-1").translate(self.spelling)]
-
     def __missing__(self, chunk: str) -> bytes:
         # Latin words, alone or before one mark, need no pre-tokenizer
         if plain := _PLAIN(chunk):
-            mark = plain[1]
-            packed = self._word(" " + chunk[: len(chunk) - len(mark)])
-            packed += self.words[mark] if mark else b""
+            word, mark = plain[1], plain[2]
+            if not word.isascii():
+                word = word.encode().decode("latin-1").translate(self.spelling)
+            packed = self.words[self.space + word]
+            if mark:
+                packed += self.words[mark]
         else:
             packed = self._ids(" " + chunk)
         if len(self) < CACHE_ENTRIES:
