@@ -10,6 +10,7 @@ from conftest import HEADER, csv_line, raw_row
 
 from txspark.plans.clean import clean
 from txspark.plans.tables import region_risk, top_receivers
+from txspark.schema import COLUMNS, RAW_SCHEMA
 from txspark.sources.lines import read_transactions, stream_lines, stream_transactions
 from txspark.streaming import live
 
@@ -123,24 +124,59 @@ def test_tables_equal_the_batch_after_every_arrival(spark, parts_dir, tmp_path,
     assert len(got) >= 3
 
 
-def test_bounded_deduplication(spark, parts_dir, tmp_path):
-    rows = some_rows(5, 40)
-    data = "\n".join([HEADER, *map(csv_line, rows + rows)]) + "\n"
-    folder = parts_dir(data)
-    df = clean(stream_transactions(spark, folder), dedupe_within="2 days")
-    out = str(tmp_path / "out")
-    with live.stream_settings(spark, 2):
-        query = df.writeStream.format("parquet").option(
-            "checkpointLocation", str(tmp_path / "checkpoint")
-        )
-        query.trigger(availableNow=True).start(out).awaitTermination()
-    expected = clean(read_transactions(spark, folder)).count()
-    assert spark.read.schema(df.schema).parquet(out).count() == expected
+def test_late_rows_are_kept(spark, tmp_path):
+    """Arrivals out of time order: after each, the stream holds what a batch would."""
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    days = [20, 3, 11, 3, 1, 20]
+    rows = [raw_row(timestamp=1_700_000_000 + d * 86_400, login_frequency=i % 5) for i, d in enumerate(days)]
+    for i in range(0, len(rows), 2):
+        df = spark.createDataFrame([tuple(r[c] for c in COLUMNS) for r in rows[i : i + 2]], RAW_SCHEMA)
+        df.write.mode("append").parquet(source)
+        stream = clean(spark.readStream.schema(RAW_SCHEMA).parquet(source))
+        with live.stream_settings(spark, 2):
+            writer = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+            writer.trigger(availableNow=True).start(out).awaitTermination()
+        got = spark.read.schema(stream.schema).parquet(out)
+        expected = clean(spark.read.parquet(source))
+        assert got.count() == expected.count()
+        assert got.exceptAll(expected).isEmpty()
+
+
+def test_fresh_checkpoint_takes_over(spark, parts_dir, tmp_path):
+    """A query started anew over the same table is the newest from its first batch on."""
+    table = str(tmp_path / "table")
+    rows = some_rows(4, 60)
+    lines = [HEADER, *map(csv_line, rows)]
+    folder = parts_dir("\n".join(lines[:20]) + "\n")
+    first = str(tmp_path / "first")
+    for i, part in enumerate([None, "\n".join(lines[20:40]) + "\n", "\n".join(lines[40:]) + "\n"]):
+        if part:
+            put(folder, i, part)
+        stream = clean(stream_transactions(spark, folder))
+        live.start_region_risk(stream, table, first, state_partitions=2).awaitTermination()
+    put(folder, 3, "\n".join(map(csv_line, some_rows(9, 30))) + "\n")
+    stream = clean(stream_transactions(spark, folder))
+    live.start_region_risk(stream, table, str(tmp_path / "second"), state_partitions=2).awaitTermination()
+    got = {tuple(r) for r in live.read_table(spark, table).collect()}
+    assert got == {tuple(r) for r in region_risk(clean(read_transactions(spark, folder))).collect()}
+    assert len(list((tmp_path / "table").glob("version-*"))) <= live.KEPT_VERSIONS + 1
 
 
-def test_settings_return_to_the_session(spark):
-    keys = ["spark.sql.shuffle.partitions", *live.STREAM_CONF]
-    before = [spark.conf.get(k, None) for k in keys]
-    with live.stream_settings(spark, 77):
-        assert spark.conf.get("spark.sql.shuffle.partitions") == "77"
-    assert [spark.conf.get(k, None) for k in keys] == before
+def test_limit_per_trigger(spark, parts_dir, tmp_path):
+    rows = some_rows(8, 90)
+    data = "\n".join([HEADER, *map(csv_line, rows)]) + "\n"
+    folder = parts_dir(data[:5000], data[5000:])
+    out = str(tmp_path / "out")
+    stream = stream_transactions(spark, folder, maxBytesPerTrigger=3000)
+    writer = stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c"))
+    query = writer.trigger(processingTime="0 seconds").start(out)
+    try:
+        query.processAllAvailable()
+        batches = [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+    finally:
+        query.stop()
+    got = spark.read.schema(stream.schema).parquet(out)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(
+        map(tuple, read_transactions(spark, folder).collect()), key=str
+    )
+    assert len(batches) >= 3

@@ -6,9 +6,11 @@ same rows. They plant every defect the cleaner handles, and ties in time.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 from pyarrow import fs as pafs
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,9 +85,8 @@ def record_text(column: str) -> str:
 # One CSV record. No field holds a comma, a quote or a line break.
 RECORD = " || ',' || ".join(record_text(c) for c in COLUMNS)
 
-# Parts hold this many events, or more where that would make too many parts.
-MIN_EVENTS_PER_PART = 997
-MAX_PARTS = 20_000
+# Parts hold this many events.
+EVENTS_PER_PART = 997
 
 
 def part_name(number: int) -> str:
@@ -127,11 +128,6 @@ def number_texts(events_df: DataFrame, columns: list[str]) -> DataFrame:
     return _with_copies(events_df).selectExpr(*[f"{record_text(c)} AS {c}" for c in columns])
 
 
-def events_per_part(events_df: DataFrame) -> int:
-    last = events_df.selectExpr("coalesce(max(event_id), 0)").first()[0]
-    return max(MIN_EVENTS_PER_PART, last // MAX_PARTS + 1)
-
-
 def csv_records(events_df: DataFrame, width: int) -> DataFrame:
     """The raw relation as CSV records, with their place in the file sequence."""
     part = f"event_id DIV {width}"
@@ -142,7 +138,7 @@ def csv_records(events_df: DataFrame, width: int) -> DataFrame:
 
 def _byte_pieces(events_df: DataFrame) -> DataFrame:
     """Records cut so that every part file but the last ends inside a record."""
-    width = events_per_part(events_df)
+    width = EVENTS_PER_PART
     ends_part = f"event_id % {width} = {width - 1} AND copy = last_copy"
     cut = "CAST(1 + event_id % (length(record) - 1) AS INT)"
     line = "concat(record, '\n')"
@@ -163,17 +159,17 @@ def write_byte_split(events_df: DataFrame, path: str) -> DataFrame:
     task that runs twice leaves the same file. Returns (file, size_bytes), evaluated once.
     """
     header = ",".join(COLUMNS) + "\n"
+    # so that executors need no installed package
+    cloudpickle.register_pickle_by_value(sys.modules[open_filesystem.__module__])
 
     def write(batches: Iterator) -> Iterator:
         import uuid
 
+        import numpy as np
         import pyarrow as pa
-        from pyarrow import fs as pafs
+        import pyarrow.compute as pc
 
-        if "://" in path:
-            target, base = pafs.FileSystem.from_uri(path)
-        else:
-            target, base = pafs.LocalFileSystem(), path
+        target, base = open_filesystem(path)
         target.create_dir(base, recursive=True)
         names, sizes = [], []
         number = out = temp = None
@@ -185,18 +181,24 @@ def write_byte_split(events_df: DataFrame, path: str) -> DataFrame:
             names.append(final.rsplit("/", 1)[1])
 
         for batch in batches:
-            for n, piece in zip(batch.column("part"), batch.column("piece")):
-                if n.as_py() != number:
+            parts = batch.column("part").to_numpy()
+            borders = np.flatnonzero(np.diff(parts)) + 1
+            for begin, end in zip([0, *borders], [*borders, len(parts)], strict=True):
+                if begin == end:
+                    continue
+                if parts[begin] != number:
                     if out is not None:
                         finish()
-                    number = n.as_py()
+                    number = int(parts[begin])
                     temp = f"{base}/_{number}-{uuid.uuid4().hex}"
                     out = target.open_output_stream(temp)
                     sizes.append(0)
                     if number == 0:
                         out.write(header.encode())
                         sizes[-1] += len(header)
-                data = piece.as_buffer()
+                run = batch.column("piece").slice(int(begin), int(end - begin)).cast(pa.large_string())
+                whole = pa.LargeListArray.from_arrays(pa.array([0, len(run)], pa.int64()), run)
+                data = pc.binary_join(whole, pa.scalar("", pa.large_string()))[0].as_buffer()
                 out.write(data)
                 sizes[-1] += data.size
         if out is not None:

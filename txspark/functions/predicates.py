@@ -46,11 +46,32 @@ def outside(
 def matches(expr: str, pattern: str) -> str:
     """Regex search, anchored only by the pattern itself.
 
-    Java lets a closing `$` match before a final line break; `\\z` is the strict end.
+    Java lets `$` match before a final line break; it is made to mean the very end.
     """
-    if pattern.endswith("$") and not pattern.endswith("\\$"):
-        pattern = pattern[:-1] + "\\z"
-    return f"{expr} RLIKE {literal(pattern)}"
+    return f"{expr} RLIKE {literal(strict_end(pattern))}"
+
+
+def strict_end(pattern: str) -> str:
+    """The pattern with every `$` anchor as `\\z`; escaped ones, those in a character class
+    and quoted text stay."""
+    out: list[str] = []
+    depth = at = 0
+    while at < len(pattern):
+        c = pattern[at]
+        if c == "\\":
+            quoted = pattern.startswith("\\Q", at)
+            end = pattern.find("\\E", at) + 2 if quoted else at + 2
+            end = len(pattern) if end < at + 2 else end
+            out.append(pattern[at:end])
+            at = end
+            continue
+        if c == "[":
+            depth += 1
+        elif c == "]" and depth:
+            depth -= 1
+        out.append("\\z" if c == "$" and not depth else c)
+        at += 1
+    return "".join(out)
 
 
 def not_matches(expr: str, pattern: str) -> str:

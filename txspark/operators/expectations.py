@@ -61,15 +61,19 @@ def _outcome(i: int, rule: Rule) -> str:
         missing = ident(f"missing_{rule.column}")
         unexpected = missing if rule.type == NOT_NULL else f"broken_{i}"
     column = f"CAST({literal(rule.column)} AS STRING)"
-    return f"{i + 1}, {literal(rule.type)}, {column}, rows, {missing}, {unexpected}"
+    # not-null rules count all rows, the others only those that hold a value
+    judged = "rows" if rule.type in (NOT_NULL, ROW_COUNT) else f"(rows - {missing})"
+    tolerated = f"(1 - {literal(float(rule.mostly))}) * {judged} + 1e-9D" if rule.mostly < 1 else "0D"
+    return f"{i + 1}, {literal(rule.type)}, {column}, rows, {missing}, {unexpected}, {tolerated}"
 
 
 def suite_outcomes(counts: DataFrame, suite: list[Rule]) -> DataFrame:
     """One row per rule, from the single row of counters."""
     cells = ", ".join(_outcome(i, rule) for i, rule in enumerate(suite))
-    names = ", ".join(ident(c) for c in RESULT_COLUMNS)
+    names = ", ".join(ident(c) for c in (*RESULT_COLUMNS, "tolerated"))
     rows = counts.selectExpr(f"stack({len(suite)}, {cells}) AS ({names})")
-    return rows.selectExpr("*", "unexpected_count = 0 AS success")
+    kept = [ident(c) for c in RESULT_COLUMNS]
+    return rows.selectExpr(*kept, "unexpected_count <= tolerated AS success")
 
 
 def run_suite(df: DataFrame, suite: list[Rule]) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from txspark.functions.numbers import strict_integer
 from txspark.functions.sqltext import ident
 from txspark.functions.text import lower_trim, trim_spaces
 from txspark.schema import COLUMNS
@@ -23,7 +24,7 @@ def clean_column(name: str) -> str:
     elif name in TRIMMED:
         expr = trim_spaces(expr)
     elif name in NARROWED:
-        expr = f"CAST({expr} AS INT)"  # ANSI mode: overflow raises
+        expr = strict_integer(expr, name, "INT")
     return f"{expr} AS {ident(name)}"
 
 

@@ -12,27 +12,33 @@ from txspark.rules import RULES, TransactionRules
 from txspark.schema import require_columns
 
 
-def clean(
-    raw: DataFrame, rules: TransactionRules = RULES, dedupe_within: str | None = None
-) -> DataFrame:
-    """Normalise, keep valid rows, drop exact duplicates. Works on batches and streams.
+def valid_rows(raw: DataFrame, rules: TransactionRules = RULES) -> DataFrame:
+    """Normalise and keep valid rows, copies included. Works on batches and streams.
 
     The filters look at nothing but the row's own columns, so filtering before the
     duplicates go gives the same rows as after, and only valid rows are shuffled. NULLs and
     amounts are tested on the raw columns, where the test reaches the Parquet scan.
     """
     present = require_columns(raw).where(rules.valid_raw())
-    valid = normalise(present).where(rules.valid_values())
-    return drop_exact_duplicates(valid, dedupe_within)
+    return normalise(present).where(rules.valid_values())
+
+
+def clean(raw: DataFrame, rules: TransactionRules = RULES) -> DataFrame:
+    """The valid rows, one of each. Works on batches and streams."""
+    return drop_exact_duplicates(valid_rows(raw, rules))
 
 
 def raw_metrics(raw: DataFrame, rules: TransactionRules = RULES) -> DataFrame:
-    """Counters over the raw rows and over the distinct raw rows, in one job."""
-    return count_copies(raw).selectExpr(
+    """Counters over the raw rows and over the distinct raw rows, in one job.
+
+    Only a key and two flags of each row are shuffled.
+    """
+    flags = {"missing": rules.critical_missing(), "off": not_positive("amount")}
+    return count_copies(raw, **flags).selectExpr(
         "coalesce(sum(copies), 0) AS total_raw",
         "count(1) AS distinct_raw",
-        f"count_if({rules.critical_missing()}) AS null_critical_dropped",
-        f"count_if({not_positive('amount')}) AS invalid_amount_dropped",
+        "count_if(missing) AS null_critical_dropped",
+        "count_if(off) AS invalid_amount_dropped",
     )
 
 

@@ -17,9 +17,11 @@ from txspark.plans.tables import (
 from txspark.rules import RULES, TransactionRules
 from txspark.session import sized_shuffles
 from txspark.sinks.tables import export_csv, store_results, write_table
-from txspark.sources.bytesplit import find_parts
 from txspark.sources.ingest import ingest
-from txspark.sources.parts import validate_parts
+from txspark.sources.parts import discover, require_content
+
+# A raw CSV row is about this many times as long as its key and flags in a shuffle.
+KEY_SHARE = 4
 
 
 def run_quality(
@@ -79,16 +81,20 @@ def run_pipeline(
     only the columns it needs from there: lost executors never cause cleaning to be redone.
     Every run is a full refresh.
     """
-    validate_parts(spark, raw_dir)
-    input_bytes = find_parts(raw_dir)[-1].end
-    with sized_shuffles(spark, input_bytes):
-        ingestion = ingest(spark, raw_dir, f"{work_dir}/raw", string_nulls=string_nulls)
-        raw = spark.read.parquet(f"{work_dir}/raw")
+    parts = discover(raw_dir)
+    require_content(parts)
+    input_bytes = parts[-1].end
+    ingestion = ingest(
+        spark, raw_dir, f"{work_dir}/raw", string_nulls=string_nulls, parts=parts
+    )
+    raw = spark.read.parquet(f"{work_dir}/raw")
+    with sized_shuffles(spark, input_bytes):  # whole rows are shuffled
         cleaned = write_table(clean(raw, rules), f"{work_dir}/clean")
+    with sized_shuffles(spark, input_bytes // KEY_SHARE):  # keys and flags only
         metrics = write_table(
             cleaning_metrics(raw, cleaned, rules), f"{out_dir}/quality/cleaning"
         )
-        results = {"ingestion": ingestion, "cleaned": cleaned, "cleaning_metrics": metrics}
-        results |= run_quality(cleaned, out_dir, rules, run_id, raise_on_failure)
-        results |= build_tables(cleaned, out_dir, k)
+    results = {"ingestion": ingestion, "cleaned": cleaned, "cleaning_metrics": metrics}
+    results |= run_quality(cleaned, out_dir, rules, run_id, raise_on_failure)
+    results |= build_tables(cleaned, out_dir, k)
     return results

@@ -105,7 +105,7 @@ def gate(results: DataFrame, raise_on_failure: bool = True) -> bool:
     """Whether every rule passed; raises on failure unless told not to."""
     failed = failed_rules(results)
     if failed and raise_on_failure:
-        raise DataQualityError(f"Data quality check failed. Failed expectations: {failed}")
+        raise DataQualityError(f"The data breaks {len(failed)} rules: {', '.join(failed)}")
     return not failed
 
 

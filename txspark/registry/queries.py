@@ -27,12 +27,23 @@ from txspark.operators.expectations import run_suite
 from txspark.operators.normalise import NARROWED, TRIMMED, clean_column, normalise
 from txspark.operators.profile import frequency, null_profile, row_count
 from txspark.plans import quality, tables
-from txspark.plans.clean import clean, cleaning_metrics
+from txspark.plans.clean import clean, cleaning_metrics, valid_rows
 from txspark.plans.pipeline import build_tables, run_pipeline
-from txspark.rules import RULES, TransactionRules
+from txspark.rules import (
+    BETWEEN,
+    IN_SET,
+    NOT_NULL,
+    REGEX,
+    RULES,
+    Rule,
+    TransactionRules,
+    suite_from_json,
+    suite_to_json,
+)
+from txspark.schema import COLUMNS, missing_columns
 from txspark.session import configure, new_shared_dir, shuffle_partitions
-from txspark.sinks.tables import export_csv, store_results, write_table
-from txspark.sources.bytesplit import find_parts
+from txspark.sinks.tables import export_csv, preview, store_results, write_table
+from txspark.sources.bytesplit import find_parts, read_header, split_header
 from txspark.sources.ingest import ingest
 from txspark.sources.lines import (
     read_lines,
@@ -44,6 +55,8 @@ from txspark.streaming import live
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# The reference bound on the number of rows, for the queries that report on it.
+BOUNDED = TransactionRules(max_rows=10_000_000)
 RUN_TIME = datetime(2024, 1, 31, tzinfo=timezone.utc)
 RUN_ID = "run-1"
 
@@ -135,12 +148,16 @@ def amount_checks(rows: DataFrame) -> DataFrame:
 
 
 def expect(rule_type: str) -> Query:
-    suite = quality.rules_of_type(RULES, rule_type)
+    suite = quality.rules_of_type(BOUNDED, rule_type)
     return _on_normal(lambda rows: run_suite(rows, suite))
 
 
+def bounded_results(rows: DataFrame) -> DataFrame:
+    return quality.dq_suite_results(rows, BOUNDED)
+
+
 def failed_rules(rows: DataFrame) -> DataFrame:
-    results = quality.dq_suite_results(rows)
+    results = bounded_results(rows)
     return results.where("NOT success").select("position", "rule", "column")
 
 
@@ -148,7 +165,7 @@ def stored_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Store a run twice under one id: the store holds it once."""
     path = new_shared_dir(spark, "results")
     cleaned = clean_of(spark, sf_dir)
-    results = write_table(quality.dq_suite_results(cleaned), f"{path}-once")
+    results = write_table(quality.dq_suite_results(cleaned, BOUNDED), f"{path}-once")
     for _ in range(2):
         store = store_results(results, path, RUN_ID, RUN_TIME)
     return store.withColumn("run_date", F.col("run_date").cast("string")).drop("run_time")
@@ -184,7 +201,6 @@ def pipeline_table(name: str) -> Query:
             raw_dir,
             f"{base}/work",
             f"{base}/out",
-            rules=TransactionRules(max_rows=None),
             raise_on_failure=False,
         )
         return results[name]
@@ -199,6 +215,46 @@ def stored_tables(name: str) -> Query:
     return _on_clean(run)
 
 
+def column_contract(spark: SparkSession, raw_dir: str) -> DataFrame:
+    """Which columns of the contract the parts' header holds."""
+    absent = set(missing_columns(split_header(read_header(raw_dir)[0])))
+    return spark.createDataFrame([(c, c not in absent) for c in COLUMNS], "column_name string, present boolean")
+
+
+def preview_rows(cleaned: DataFrame) -> DataFrame:
+    table = tables.top_receivers(cleaned)
+    return cleaned.sparkSession.createDataFrame(preview(table), table.schema)
+
+
+def receivers_csv(cleaned: DataFrame) -> DataFrame:
+    """Instants leave as ISO text in UTC, with milliseconds and zone."""
+    table = tables.top_receivers(cleaned)
+    path = new_shared_dir(cleaned.sparkSession, "csv")
+    export_csv(table, path, tables.receiver_order())
+    return cleaned.sparkSession.read.option("header", True).csv(path)
+
+
+def gate_verdict(cleaned: DataFrame) -> DataFrame:
+    """What the gate decides on, as one row."""
+    results = write_table(
+        quality.dq_suite_results(cleaned, BOUNDED), new_shared_dir(cleaned.sparkSession, "results")
+    )
+    verdict = (quality.gate(results, raise_on_failure=False), ", ".join(quality.failed_rules(results)))
+    return cleaned.sparkSession.createDataFrame([verdict], "success boolean, failed string")
+
+
+MOSTLY_SUITE = suite_to_json(
+    "mostly",
+    [
+        Rule(NOT_NULL, {"column": "amount", "mostly": 0.5}),
+        Rule(NOT_NULL, {"column": "amount", "mostly": 0.999}),
+        Rule(IN_SET, {"column": "age_group", "value_set": ["new"], "mostly": 0.1}),
+        Rule(BETWEEN, {"column": "risk_score", "min_value": 50, "mostly": 0.9}),
+        Rule(REGEX, {"column": "sending_address", "regex": "^0x", "mostly": 0.8}),
+    ],
+)
+
+
 # -- streams ---------------------------------------------------------------------------
 
 
@@ -215,6 +271,19 @@ def stream_ingest(spark: SparkSession, raw_dir: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(f"{base}/raw")
 
 
+def stream_out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean rows of a stream whose arrivals are not in time order: none is lost as late."""
+    base = new_shared_dir(spark, "stream")
+    events = fixtures.events(spark, sf_dir).repartition(4, F.pmod(F.hash("event_id"), F.lit(4)))
+    events.write.parquet(f"{base}/events")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/events")
+    rows = clean(fixtures.transactions(stream))
+    with live.stream_settings(spark, _state_partitions(spark, fixtures.events_bytes(sf_dir))):
+        writer = rows.writeStream.option("checkpointLocation", f"{base}/checkpoint")
+        writer.trigger(availableNow=True).format("parquet").start(f"{base}/clean").awaitTermination()
+    return spark.read.schema(rows.schema).parquet(f"{base}/clean")
+
+
 def stream_region_risk(spark: SparkSession, raw_dir: str) -> DataFrame:
     """Parts, byte-split stream, cleaning and table in one query."""
     base = new_shared_dir(spark, "stream")
@@ -232,7 +301,7 @@ def stream_top_receivers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as a file stream."""
     base = new_shared_dir(spark, "stream")
     query = live.start_top_receivers(
-        clean(fixtures.transactions(fixtures.stream_events(spark, sf_dir))),
+        valid_rows(fixtures.transactions(fixtures.stream_events(spark, sf_dir))),
         f"{base}/table",
         f"{base}/checkpoint",
         state_partitions=_state_partitions(spark, fixtures.events_bytes(sf_dir)),
@@ -286,9 +355,15 @@ QUERIES: dict[str, Query] = {
     "expect_in_set": expect(R.IN_SET),
     "expect_between": expect(R.BETWEEN),
     "expect_regex": expect(R.REGEX),
-    "dq_suite_results": _on_clean(quality.dq_suite_results),
-    "dq_suite_uncleaned": _on_normal(quality.dq_suite_results),
-    "dq_suite_summary": _on_clean(lambda df: quality.summarise(quality.dq_suite_results(df))),
+    "dq_suite_results": _on_clean(bounded_results),
+    "dq_suite_uncleaned": _on_normal(bounded_results),
+    "dq_suite_summary": _on_clean(lambda df: quality.summarise(bounded_results(df))),
+    "suite_mostly": _on_normal(lambda rows: run_suite(rows, suite_from_json(MOSTLY_SUITE))),
+    "gate_verdict": _on_clean(gate_verdict),
+    "column_contract": _on_parts(column_contract),
+    "preview_rows": _on_clean(preview_rows),
+    "receivers_csv": _on_clean(receivers_csv),
+    "stream_out_of_order": stream_out_of_order,
     "dq_failed_rules": _on_clean(failed_rules),
     # tables
     "clean_transactions": clean_of,

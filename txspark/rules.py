@@ -19,7 +19,7 @@ from txspark.functions.predicates import (
 )
 from txspark.functions.sqltext import ident
 
-# The public names of the supported expectation types.
+# The public names of the supported expectation types and their arguments.
 ROW_COUNT = "expect_table_row_count_to_be_between"
 NOT_NULL = "expect_column_values_to_not_be_null"
 IN_SET = "expect_column_values_to_be_in_set"
@@ -33,6 +33,13 @@ _REQUIRED = {
     BETWEEN: ("column",),
     REGEX: ("column", "regex"),
 }
+_OPTIONAL = {
+    ROW_COUNT: ("min_value", "max_value"),
+    NOT_NULL: ("mostly",),
+    IN_SET: ("mostly",),
+    BETWEEN: ("min_value", "max_value", "strict_min", "strict_max", "mostly"),
+    REGEX: ("mostly",),
+}
 
 
 @dataclass(frozen=True)
@@ -48,11 +55,21 @@ class Rule:
         absent = [k for k in _REQUIRED[self.type] if k not in self.kwargs]
         if absent:
             raise ValueError(f"{self.type} needs {absent}")
+        known = {*_REQUIRED[self.type], *_OPTIONAL[self.type]}
+        if unknown := sorted(set(self.kwargs) - known):
+            raise ValueError(f"{self.type} does not know {unknown}")
+        if not 0 <= self.mostly <= 1:
+            raise ValueError(f"mostly lies outside 0 to 1: {self.mostly}")
 
     @property
     def column(self) -> str | None:
         return self.kwargs.get("column")
 
+    @property
+    def mostly(self) -> float:
+        """The share of values that must keep the rule."""
+        return self.kwargs.get("mostly", 1)
+
     def violated(self, value: str) -> str:
         """True where the value breaks the rule, NULL where there is none."""
         kw = self.kwargs
@@ -92,7 +109,7 @@ def suite_from_json(text: str) -> list[Rule]:
 
 @dataclass(frozen=True)
 class TransactionRules:
-    """What a valid transaction is."""
+    """What a valid transaction is. The defaults are fixed values of the data contract."""
 
     critical: tuple[str, ...] = (
         "timestamp",
@@ -116,9 +133,9 @@ class TransactionRules:
     region_pattern: str = "^[A-Za-z]"
     address_pattern: str = "^0x[0-9a-f]{40}$"
     risk_range: tuple[float, float] = (0, 100)
-    # The bound on the number of rows; raise it for large tables, None lifts it.
+    # The bound on the number of rows. A table may be of any size unless one is given.
     min_rows: int | None = 1
-    max_rows: int | None = 10_000_000
+    max_rows: int | None = None
 
     def critical_present(self) -> str:
         return all_present(self.critical)

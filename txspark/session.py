@@ -10,11 +10,13 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-# Settings the plans rely on: UTC instants, failing casts, runtime re-planning.
+# Settings the plans rely on: UTC instants, failing casts, runtime re-planning, and string
+# literals in which a backslash escapes.
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
+    "spark.sql.parser.escapedStringLiterals": "false",
 }
 
 # Stream state on local disk beside the executor heap, with changelogs as checkpoints.
@@ -26,7 +28,6 @@ STREAM_CONF = {
 }
 
 SHUFFLE_PARTITION_BYTES = 128 << 20
-MAX_SHUFFLE_PARTITIONS = 100_000
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -38,26 +39,25 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def shuffle_partitions(shuffle_bytes: int, cores: int) -> int:
     """Reducers so that each holds about 128 MB and every core has work."""
-    wanted = math.ceil(shuffle_bytes / SHUFFLE_PARTITION_BYTES)
-    return min(max(wanted, cores), MAX_SHUFFLE_PARTITIONS)
+    return max(math.ceil(shuffle_bytes / SHUFFLE_PARTITION_BYTES), cores)
 
 
 @contextmanager
 def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[int]:
-    """Raise the reducer count to fit the input for the duration of a block.
+    """Let the wide shuffles of one block start with reducers that fit the input.
 
-    Never lowers a larger setting; AQE merges reducers that turn out small.
+    Sets what AQE starts from and then merges down, never less than the session has; the
+    block should hold one stage's work, so that small tables keep the session's own count.
     """
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    sized = max(
-        int(before), shuffle_partitions(input_bytes, spark.sparkContext.defaultParallelism)
-    )
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(key, None)
+    own = int(before or spark.conf.get("spark.sql.shuffle.partitions"))
+    sized = max(own, shuffle_partitions(input_bytes, spark.sparkContext.defaultParallelism))
     spark.conf.set(key, str(sized))
     try:
         yield sized
     finally:
-        spark.conf.set(key, before)
+        spark.conf.set(key, before) if before else spark.conf.unset(key)
 
 
 def new_shared_dir(spark: SparkSession, name: str) -> str:

@@ -27,8 +27,10 @@ def export_csv(df: DataFrame, path: str, order: list[Column]) -> None:
 
 
 def preview(df: DataFrame, n: int = 20) -> list[Row]:
-    """The first rows, never more than a fixed number."""
-    return df.limit(min(n, PREVIEW_ROWS)).collect()
+    """The first n rows; asking for more than a driver should hold is an error."""
+    if n > PREVIEW_ROWS:
+        raise ValueError(f"A preview shows at most {PREVIEW_ROWS} rows; export larger results")
+    return df.limit(n).collect()
 
 
 def store_results(
@@ -36,7 +38,8 @@ def store_results(
 ) -> DataFrame:
     """Add one run's outcomes to the result store and return the whole store.
 
-    A run owns its partition, so storing it again replaces it and never doubles it.
+    A run owns its partition, so storing it again replaces it and never doubles it, on
+    whatever day that happens.
     """
     run_time = run_time or datetime.now(timezone.utc)
     stamped = results.select(
@@ -47,5 +50,5 @@ def store_results(
     )
     writer = stamped.coalesce(1).write.mode("overwrite")
     writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("run_date", "run_id").parquet(path)
+    writer.partitionBy("run_id").parquet(path)
     return results.sparkSession.read.schema(stamped.schema).parquet(path)

@@ -11,7 +11,9 @@ uses nothing but numpy, pyarrow and pyspark's public data source API.
 
 Options: `pattern` (part names), `rangeBytes` (size of a Spark partition; by default it
 follows the input size and `cores`), `header` (skip the first line), `withPosition` (add each
-line's byte position), and for streams `flush` (emit a last record that has no line end).
+line's byte position), `listing` (fingerprint of the parts that must be there, no more and
+no less), and for streams `flush` (emit a last record that has no line end) and
+`maxBytesPerTrigger` (how much one micro-batch takes, at least one line).
 """
 
 from __future__ import annotations
@@ -35,7 +37,6 @@ from pyspark.sql.datasource import (
 PATTERN = "part_*.csv"
 MIN_RANGE_BYTES = 1 << 20
 MAX_RANGE_BYTES = 128 << 20
-MAX_RANGES = 50_000
 BLOCK_BYTES = 4 << 20
 # Past its range a task only needs the rest of one line, so it reads in small steps.
 TAIL_BYTES = 64 << 10
@@ -81,7 +82,7 @@ def find_parts(path: str, pattern: str = PATTERN) -> list[Part]:
         if f.type == pafs.FileType.File and fnmatch.fnmatchcase(f.base_name, pattern)
     }
     if not sizes:
-        raise FileNotFoundError(f"No {pattern} files found in {path}")
+        raise FileNotFoundError(f"Nothing in {path} is named like {pattern}")
     names = sorted(sizes)
     ends = list(accumulate(sizes[n] for n in names))
     return [Part(n, end - sizes[n], sizes[n]) for n, end in zip(names, ends)]
@@ -96,11 +97,10 @@ def fingerprint(parts: Sequence[Part]) -> str:
 
 
 def range_bytes(total: int, cores: int) -> int:
-    """Range size: all cores busy on small input, 128 MB on large, and on very large input
-    no more tasks than a driver schedules well. A task streams its range, so a larger one
-    costs no memory."""
+    """Range size: all cores busy on small input, 128 MB on large. A task streams its range;
+    set rangeBytes for longer tasks on very large input."""
     even = -(-total // (3 * cores))
-    return max(min(max(even, MIN_RANGE_BYTES), MAX_RANGE_BYTES), -(-total // MAX_RANGES))
+    return min(max(even, MIN_RANGE_BYTES), MAX_RANGE_BYTES)
 
 
 def plan_ranges(
@@ -154,11 +154,13 @@ class VirtualFile:
                 if part_stop <= position:
                     continue
                 with self.files.open_input_file(f"{self.base}/{part.name}") as handle:
+                    if handle.size() != part.size:
+                        raise OSError(f"{part.name} has changed since it was listed")
                     while position < part_stop:
                         want = min(step, part_stop - position)
                         data = handle.read_at(want, position - part.start)
                         if len(data) != want:
-                            raise OSError(f"{part.name} is shorter than when it was listed")
+                            raise OSError(f"{part.name} has changed since it was listed")
                         position += want
                         yield data
 
@@ -303,6 +305,8 @@ class _Options:
         self.cores = max(int(options.get("cores", 1)), 1)
         if self.fixed_range < 0:
             raise ValueError("rangeBytes must be positive")
+        self.listing = options.get("listing")
+        self.most = int(options.get("maxBytesPerTrigger", 0))
         self.header = options.get("header", "true").lower() == "true"
         self.flush = options.get("flush", "false").lower() == "true"
         self.with_position = options.get("withPosition", "false").lower() == "true"
@@ -342,6 +346,8 @@ class _RangeReader:
 class ByteSplitReader(_RangeReader, DataSourceReader):
     def partitions(self) -> Sequence[InputPartition]:
         parts = self.options.parts()
+        if self.options.listing not in (None, fingerprint(parts)):
+            raise OSError(f"Parts in {self.options.path} changed since they were listed")
         ranges = self.options.ranges(parts, self.options.data_start(parts), parts[-1].end)
         return ranges or [InputPartition((0, 0, 0, True, []))]
 
@@ -358,6 +364,7 @@ class ByteSplitStreamReader(_RangeReader, DataSourceStreamReader):
     def __init__(self, options: _Options) -> None:
         super().__init__(options)
         self._data_start: int | None = None
+        self._reached: int | None = None  # the last offset given out in this run
 
     def _floor(self, parts: Sequence[Part]) -> int:
         """Where data starts, found once the header line is complete."""
@@ -377,10 +384,37 @@ class ByteSplitStreamReader(_RangeReader, DataSourceStreamReader):
         floor = self._floor(parts)
         position = last_line_end(opts.path, opts.pattern, parts, floor)
         total = max(parts[-1].end, floor)
+        if opts.most:
+            begin = max(floor, self._reached if self._reached is not None else floor)
+            if position - begin > opts.most:
+                self._reached = self._cut(parts, begin, position)
+                covered = [p for p in parts if p.start < self._reached]
+                return self._offset(self._reached, covered, False)
+            self._reached = position
         if opts.flush and position < total:
             return self._offset(total, parts, True)
         return self._offset(position, parts, False)
 
+    def _cut(self, parts: Sequence[Part], begin: int, end: int) -> int:
+        """The end of the last line that fits in a trigger, or of the first one."""
+        opts = self.options
+        stop = begin + opts.most
+        source = VirtualFile(opts.path, opts.pattern, parts, end)
+        high = stop
+        while high > begin:
+            low = max(begin, high - TAIL_BYTES)
+            ends = _line_ends(_peek(source, low, high - low))
+            if ends.size:
+                return low + int(ends[-1]) + 1
+            high = low
+        position = stop
+        for block in source.blocks(stop, end, TAIL_BYTES):
+            ends = _line_ends(block)
+            if ends.size:
+                return position + int(ends[0]) + 1
+            position += len(block)
+        return end
+
     @staticmethod
     def _offset(position: int, parts: Sequence[Part], unfinished: bool) -> dict:
         return {
@@ -392,6 +426,7 @@ class ByteSplitStreamReader(_RangeReader, DataSourceStreamReader):
 
     def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
         parts = self.options.parts()
+        self._reached = max(self._reached or 0, end["position"])
         for offset in (start, end):
             if fingerprint(parts[: offset["parts"]]) != offset["fingerprint"]:
                 raise ValueError(

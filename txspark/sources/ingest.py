@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txspark.sinks.tables import write_table
-from txspark.sources.bytesplit import PATTERN, find_parts
+from txspark.sources.bytesplit import PATTERN, Part, find_parts, fingerprint
 from txspark.sources.lines import header_of, parse_csv, read_lines
 
 
@@ -16,15 +16,18 @@ def ingest(
     target: str,
     pattern: str = PATTERN,
     string_nulls: bool = False,
+    parts: list[Part] | None = None,
 ) -> DataFrame:
     """Parse the parts into the table `target`; returns its metadata as one row.
 
-    One pass without a shuffle. The rows are counted from the written files' footers, which
+    Header, rows and metadata come from one listing, `parts` if it was taken before; parts
+    that come, go or change meanwhile are an error. One pass without a shuffle. The rows are counted from the written files' footers, which
     stays right when tasks run twice.
     """
-    header = header_of(raw_dir, pattern)
-    parts = find_parts(raw_dir, pattern)
-    raw = parse_csv(read_lines(spark, raw_dir, pattern), header, string_nulls=string_nulls)
+    parts = parts or find_parts(raw_dir, pattern)
+    header = header_of(raw_dir, pattern, parts=parts)
+    lines = read_lines(spark, raw_dir, pattern, listing=fingerprint(parts))
+    raw = parse_csv(lines, header, string_nulls=string_nulls)
     stored = write_table(raw, target)
     return stored.agg(F.count(F.lit(1)).alias("row_count")).select(
         "row_count",

@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from txspark.functions.numbers import strict_double
+from txspark.functions.numbers import strict_double, strict_integer
 from txspark.functions.sqltext import ident
 from txspark.functions.text import NULL_TOKENS, null_if_token
 from txspark.schema import RAW_SCHEMA, missing_columns
 from txspark.sources import bytesplit
-from txspark.sources.bytesplit import PATTERN, read_header, split_header
+from txspark.sources.bytesplit import PATTERN, Part, read_header, split_header
+
 
 def register(spark: SparkSession) -> None:
     """Make `format("bytesplit")` known to a session."""
@@ -42,9 +43,14 @@ def stream_lines(
     return reader.option("pattern", pattern).options(**options).load(path)
 
 
-def header_of(path: str, pattern: str = PATTERN, expected: list[str] | None = None) -> list[str]:
+def header_of(
+    path: str,
+    pattern: str = PATTERN,
+    expected: list[str] | None = None,
+    parts: Sequence[Part] | None = None,
+) -> list[str]:
     """Column names in file order. A missing contract column is an error before any job."""
-    names = split_header(read_header(path, pattern)[0])
+    names = split_header(read_header(path, pattern, parts)[0])
     missing = missing_columns(names, expected)
     if missing:
         raise ValueError(f"Missing expected columns: {missing}")
@@ -54,7 +60,7 @@ def header_of(path: str, pattern: str = PATTERN, expected: list[str] | None = No
 def _typed(name: str, kind: T.DataType) -> str:
     text = ident(name)
     if isinstance(kind, T.LongType):
-        return f"CAST({text} AS BIGINT) AS {text}"
+        return f"{strict_integer(text, name)} AS {text}"
     if isinstance(kind, T.DoubleType):
         return f"{strict_double(text, name)} AS {text}"
     return text

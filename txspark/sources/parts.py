@@ -30,7 +30,12 @@ def list_parts(spark: SparkSession, path: str, pattern: str = PATTERN) -> DataFr
 
 def validate_parts(spark: SparkSession, path: str, pattern: str = PATTERN) -> DataFrame:
     """`list_parts`, or an error that names every empty part."""
-    empty = [f"{p.name} is empty" for p in discover(path, pattern) if p.size == 0]
-    if empty:
-        raise ValueError(f"Raw input validation failed: {empty}")
+    require_content(discover(path, pattern))
     return list_parts(spark, path, pattern)
+
+
+def require_content(parts: list[Part]) -> None:
+    """An error that names every empty part."""
+    empty = [p.name for p in parts if p.size == 0]
+    if empty:
+        raise ValueError(f"These parts hold no bytes: {', '.join(empty)}")

@@ -1,9 +1,10 @@
 """Result tables that stay current while parts arrive.
 
 Both queries run in complete mode: every trigger replaces the whole table, as a full batch
-run would. The state of the region table is one small row per region, that of the receiver
-table one row per receiver. Exact deduplication also keeps every distinct row in state;
-`clean(..., dedupe_within=...)` bounds it for endless streams.
+run would. The state of the region table is one small row per region, and a 32-byte key of
+every distinct row, since copies must not count twice in a mean. The receiver table takes a
+maximum, which copies cannot change: it needs no deduplication, and its state is one row per
+receiver.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,8 +20,10 @@ from pyspark.sql.streaming import StreamingQuery
 from txspark.operators.ranking import top_k
 from txspark.plans.tables import receiver_order, region_means, region_order, sales
 from txspark.session import STREAM_CONF
+from txspark.sources.bytesplit import open_filesystem
 
-SLOTS = 2
+# Versions of a table that stay: the newest, and those a reader may still hold.
+KEPT_VERSIONS = 3
 
 
 @contextmanager
@@ -51,13 +55,19 @@ def start_table(
 ) -> StreamingQuery:
     """Run a complete-mode aggregate and store `shape` of it after every trigger.
 
-    Two slots take turns, so a reader always finds one whole version. A batch that is
-    repeated after a failure overwrites its own slot.
+    Every version has a folder of its own, named by the start of the query and the batch, and
+    counts as soon as Spark has marked it complete; a start always takes a higher number than
+    all before it, also with a fresh checkpoint. Old versions go.
     """
+    known = _versions(path, complete=False)
+    start = int(known[-1].split("-")[1]) + 1 if known else 0
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        table = shape(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        table.write.mode("overwrite").parquet(f"{path}/slot={batch_id % SLOTS}")
+        name = f"version-{start:010d}-{batch_id:019d}"
+        shape(batch).write.mode("overwrite").parquet(f"{path}/{name}")
+        files, base = open_filesystem(path)
+        for old in _versions(path)[:-KEPT_VERSIONS]:
+            files.delete_dir(f"{base}/{old}")
 
     with stream_settings(aggregated.sparkSession, state_partitions):
         writer = aggregated.writeStream.outputMode("complete").foreachBatch(store)
@@ -65,11 +75,23 @@ def start_table(
         return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def _versions(path: str, complete: bool = True) -> list[str]:
+    """Folders of versions, oldest first."""
+    files, base = open_filesystem(path)
+    found = files.get_file_info(pafs.FileSelector(base, allow_not_found=True))
+    names = sorted(f.base_name for f in found if f.base_name.startswith("version-"))
+    if not complete:
+        return names
+    marks = files.get_file_info([f"{base}/{n}/_SUCCESS" for n in names])
+    return [n for n, m in zip(names, marks, strict=True) if m.type == pafs.FileType.File]
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """The newest version stored by `start_table`."""
-    slots = spark.read.parquet(path)
-    newest = slots.agg(F.max("batch_id")).scalar()
-    return slots.where(F.col("batch_id") == newest).drop("batch_id", "slot")
+    """The newest whole version stored by `start_table`, also while it writes the next."""
+    versions = _versions(path)
+    if not versions:
+        raise FileNotFoundError(f"No version of a table in {path}")
+    return spark.read.parquet(f"{path}/{versions[-1]}")
 
 
 def start_region_risk(
@@ -91,7 +113,10 @@ def latest_sales(cleaned: DataFrame) -> DataFrame:
 def start_top_receivers(
     cleaned: DataFrame, path: str, checkpoint: str, k: int = 3, **options: object
 ) -> StreamingQuery:
-    """Keep the receivers with the largest latest sale current in `path`."""
+    """Keep the receivers with the largest latest sale current in `path`.
+
+    `cleaned` may hold copies: `valid_rows` is enough.
+    """
     return start_table(
         latest_sales(cleaned), path, checkpoint, lambda t: top_k(t, receiver_order(), k), **options
     )
