@@ -29,6 +29,7 @@ PIECES_PER_BUCKET = 100_000
 LEAST_BUCKETS = 256
 TRIPLES_PER_LENGTH = 12
 SWEEPS = 25
+ROUNDINGS = (1.0, 0.5, 0.0)
 
 
 _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,]?)").fullmatch
@@ -187,7 +188,19 @@ def fit_counts(histogram: dict[int, int], patterns: list[tuple[int, ...]], capac
 
 
 def plan(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """Patterns with repeat counts that use up the histogram exactly."""
+    """Patterns with repeat counts that use up the histogram exactly.
+
+    The fitted counts are rounded by several measures, from the nearest whole number down to
+    leaving all to the residual packing; the plan with the fewest sequences wins.
+    """
+    patterns = enumerate_patterns([x for x in histogram if x < capacity], capacity)
+    inner = {x: n for x, n in histogram.items() if x < capacity}
+    fitted = fit_counts(inner, patterns, capacity) if patterns else np.zeros(0)
+    plans = [_rounded(histogram, capacity, patterns, fitted * share) for share in ROUNDINGS]
+    return min(plans, key=lambda chosen: sum(count for _, count in chosen))
+
+
+def _rounded(histogram: dict[int, int], capacity: int, patterns, fitted: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
     left = {k: int(v) for k, v in histogram.items() if v}
     chosen: list[tuple[tuple[int, ...], int]] = []
 
@@ -200,10 +213,10 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...]
 
     if full := left.get(capacity):
         take((capacity,), full)
-    patterns = enumerate_patterns(list(left), capacity) if left else []
-    fitted = fit_counts(left, patterns, capacity) if patterns else np.zeros(0)
     for i in np.argsort(-fitted, kind="stable"):
         pattern, count = patterns[i], math.floor(fitted[i] + 0.5)
+        if count <= 0:
+            break
         room = min(left.get(x, 0) // pattern.count(x) for x in pattern)
         if (count := min(count, room)) > 0:
             take(pattern, count)

@@ -88,7 +88,7 @@ def shard_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", pl
     # at most shards * dimensions / cut_share of them
     hot = [bytes(r[0]) for r in rows.groupBy("unit").agg(*sums).where(over(plan.cut_share)).select("unit").collect()]
     if hot:
-        part = F.pmod(F.xxhash64("doc_id"), F.lit(plan.cut_parts)).cast("int").cast("binary")
+        part = F.encode(F.pmod(F.xxhash64("doc_id"), F.lit(plan.cut_parts)).cast("string"), "UTF-8")
         rows = rows.withColumn("unit", F.when(F.col("unit").isin(hot), F.concat("unit", part)).otherwise(F.col("unit")))
     units = stored(rows.groupBy("unit").agg(*sums), "units")
     large = units.where(over(plan.large_share)).orderBy("unit").collect()

@@ -104,11 +104,13 @@ def _scaled(tree: Tree, rate: float) -> Tree:
 
 
 def forest(x: np.ndarray, y: np.ndarray, count: int, depth: int, seed: int) -> list[Tree]:
-    """Random forest: each tree on a bootstrap sample, some features tried at each node."""
+    """Random forest: each tree on a bootstrap sample with as many rows of either label, some
+    features tried at each node. Both labels, 0 and 1, must occur."""
     rng = np.random.default_rng(seed)
     tried = max(1, round(x.shape[1] ** 0.5))
     out = []
     for _ in range(count):
-        rows = rng.integers(0, len(y), len(y))
+        half = max(1, len(y) // 2)
+        rows = np.concatenate([rng.choice(np.flatnonzero(y == v), half) for v in (0, 1)])
         out.append(grow(x[rows], y[rows], np.ones(len(rows)), depth, 2.0, tried, rng))
     return out
