@@ -192,10 +192,12 @@ def test_redaction(spark, documents):
 
 
 def test_secrets(spark, documents):
-    labelled = secret_scan.findings(documents, "text", "source").select(F.explode("candidates").alias("x"))
-    model = secret_scan.train(labelled.select("x", secret_scan.known_label().alias("label")))
     rng = random.Random(4)
-    key = "AKIA" + "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(16))
+    keys = ["AKIA" + "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(16)) for _ in range(60)]
+    more = docs_of(spark, [f"thand of the {k} and in" for k in keys[1:]])
+    labelled = secret_scan.findings(documents.union(more), "text", "source").select(F.explode("candidates").alias("x"))
+    model = secret_scan.train(labelled.select("x", secret_scan.known_label().alias("label")))
+    key = keys[0]
     texts = [f"set {key} now", 'token = "' + "9f8e7d6c5b4a39281706" * 2 + '"', "thandthoutheringandtheother wordsinarowthatgoonandon", *ODD]
     for r in secret_scan.scan(docs_of(spark, texts).withColumn("candidates", F.lit(1)).drop("candidates"), "text", "source", model).collect():
         secrets = [r["text"][x["s"] : x["e"]] for x in r["secrets"]]

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import io
+import os
+import tempfile
+import zipfile
 from collections.abc import Iterable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +18,31 @@ HELD_OUT_FOLDS = 4
 HELD_OUT_FOLD = 2
 
 
+_ROOT = Path(__file__).resolve().parents[2]
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the Python workers, once per application, where they would not
+    find it by themselves: on a cluster, or locally when started from another folder."""
+    sc = spark.sparkContext
+    seen = [os.getcwd(), *filter(None, os.environ.get("PYTHONPATH", "").split(os.pathsep))]
+    if sc.applicationId in _shipped or sc.master.startswith("local") and _ROOT in map(Path, map(os.path.realpath, seen)):
+        return
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as archive:
+        archive.writestr("txspark/__init__.py", "")
+        for file in sorted((_ROOT / "txspark").rglob("*.py")):
+            archive.write(file, file.relative_to(_ROOT))
+    # the driver's own copy, which Spark sends on
+    target = Path(tempfile.mkdtemp(prefix="txspark-")) / "txspark.zip"
+    target.write_bytes(packed.getvalue())
+    sc.addPyFile(str(target))
+    _shipped.add(sc.applicationId)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
