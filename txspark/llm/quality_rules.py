@@ -123,7 +123,7 @@ def words_of(docs: DataFrame, text: str) -> DataFrame:
 
 def histograms(docs: DataFrame) -> DataFrame:
     """Adds class_counts and word_counts (the last bin holds all other words) from _words
-    and _body, which go."""
+    and _body, which go. Each common word is one character of _codes, others are `@`."""
     codes = F.array_join(
         F.transform(
             "_words",
@@ -131,11 +131,8 @@ def histograms(docs: DataFrame) -> DataFrame:
         ),
         "",
     )
-    rest = [F.col("_body")]
-    for kind in CLASSES:
-        rest.append(F.regexp_replace(rest[-1], f"{kind}+", ""))
-    names = [f"_rest{i}" for i in range(len(rest))]
-    out = once(docs, _codes=codes, **{names[0]: rest[0]})
+    names = [f"_rest{i}" for i in range(len(CLASSES) + 1)]
+    out = once(docs, _codes=codes, **{names[0]: F.col("_body")})
     for before, name, kind in zip(names, names[1:], CLASSES, strict=False):
         out = once(out, **{name: F.regexp_replace(before, f"{kind}+", "")})
     sizes = [F.length(n) for n in names]
