@@ -78,12 +78,15 @@ def build(x: np.ndarray) -> Tree:
 def _cover(x: np.ndarray, first: int, rows: np.ndarray, radius: float):
     """Balls of the radius over the rows, the first around the parent's centre, each further
     one around the row farthest from all centres so far."""
-    centres = [first]
-    near = distances(x[rows], x[[first]])[:, 0]
+    if len(rows) == 1:
+        yield first, rows, 0.0
+        return
+    centres, own = [first], x[rows]
+    near = distances(own, x[[first]])[:, 0]
     owner = np.zeros(len(rows), np.int64)
     while near.max() > radius:
         far = int(near.argmax())
-        d = distances(x[rows], x[[rows[far]]])[:, 0]
+        d = distances(own, own[[far]])[:, 0]
         closer = d < near
         owner[closer], near[closer] = len(centres), d[closer]
         owner[far], near[far] = len(centres), 0.0
@@ -98,31 +101,33 @@ def _cover(x: np.ndarray, first: int, rows: np.ndarray, radius: float):
 
 def leaf_pairs(tree: Tree, x: np.ndarray, reach: float) -> list[tuple[int, int]]:
     """Pairs of leaves (a node with itself too) that may hold a pair within reach."""
-    found: list[tuple[int, int]] = []
     centre, radius = x[tree.centre], np.array(tree.radius)
-    a, b = np.array([0]), np.array([0])
-    while len(a):
-        kept = []
-        for at in range(0, len(a), 1 << 15):
-            p, q = a[at : at + (1 << 15)], b[at : at + (1 << 15)]
-            d = np.sqrt(np.maximum(2 - 2 * np.einsum("ij,ij->i", centre[p], centre[q]), 0))
-            kept.append((p == q) | (d <= reach + radius[p] + radius[q] + SLACK))
-        keep = np.concatenate(kept)
-        next_a, next_b = [], []
-        for p, q in zip(a[keep].tolist(), b[keep].tolist(), strict=True):
-            if tree.rows[p] is not None:  # all leaves lie on one level
-                found.append((p, q))
-                continue
-            below_p, below_q = np.array(tree.children[p]), np.array(tree.children[q])
-            if p == q:
-                i, j = np.triu_indices(len(below_p))
-            else:
-                i, j = (g.ravel() for g in np.indices((len(below_p), len(below_q))))
-            next_a.append(below_p[i])
-            next_b.append(below_q[j])
-        a = np.concatenate(next_a) if next_a else np.zeros(0, np.int64)
-        b = np.concatenate(next_b) if next_b else np.zeros(0, np.int64)
-    return found
+    first = np.array([c[0] if c else 0 for c in tree.children])
+    count = np.array([len(c) for c in tree.children])
+    level = {0: np.array([0])}  # each node's partners, itself and later ones
+    while any(tree.rows[p] is None for p in level):  # all leaves lie on one level
+        below: dict[int, np.ndarray] = {}
+        for p, partners in level.items():
+            left = np.array(tree.children[p])
+            n = count[partners]  # children are numbered in a row
+            right = np.repeat(first[partners] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            for i, j in near_pairs(centre[left], radius[left], centre[right], radius[right], reach):
+                one, other = left[i], right[j]
+                one, other = one[one <= other], other[one <= other]
+                if len(one):
+                    ends = np.flatnonzero(np.diff(one, append=-1)) + 1
+                    below.update(zip(one[ends - 1].tolist(), np.split(other, ends[:-1]), strict=True))
+        level = below
+    return [(p, q) for p, partners in level.items() for q in partners.tolist()]
+
+
+def near_pairs(a: np.ndarray, ra: np.ndarray, b: np.ndarray, rb: np.ndarray, reach: float, chunk: int = 512):
+    """Numbers of the balls of either side that may hold a pair within reach, a chunk of the
+    left side at a time."""
+    for at in range(0, len(a), chunk):
+        d = distances(a[at : at + chunk], b)
+        i, j = np.nonzero(d <= ra[at : at + chunk, None] + rb[None, :] + (reach + SLACK))
+        yield i + at, j
 
 
 class Links:
@@ -146,6 +151,8 @@ class Links:
     def add(self, rows: np.ndarray, others: np.ndarray, chunk: int = 1024) -> None:
         """Link every row to every other one that is near; the sets are equal or disjoint."""
         same = rows is others
+        if same and len(rows) == 1:
+            return
         for at in range(0, len(rows), chunk):
             part = rows[at : at + chunk]
             near = self.x[part] @ self.x[others].T >= self.threshold
@@ -204,13 +211,10 @@ def _pairs_of_leaves(group: pd.DataFrame, reach: float) -> pd.DataFrame:
     empty = pd.DataFrame({"p": np.zeros(0, np.int64), "q": np.zeros(0, np.int64)})
     if left.empty or right.empty:
         return empty
-    d = distances(np.stack(left["v"]), np.stack(right["v"]))
-    bound = left["radius"].to_numpy()[:, None] + right["radius"].to_numpy()[None, :] + reach + SLACK
-    apart = (left["cell"].to_numpy()[:, None] != right["cell"].to_numpy()[None, :]) | (
-        left["block"].to_numpy()[:, None] != right["block"].to_numpy()[None, :]
-    )
-    i, j = np.nonzero((d <= bound) & apart)
-    p, q = left["leaf"].to_numpy()[i], right["leaf"].to_numpy()[j]
+    balls = [(np.stack(s["v"]), s["radius"].to_numpy()) for s in (left, right)]
+    i, j = (np.concatenate(n) for n in zip(*near_pairs(*balls[0], *balls[1], reach), strict=True))
+    cell, block = ((left[c].to_numpy()[i] != right[c].to_numpy()[j]) for c in ("cell", "block"))
+    p, q = left["leaf"].to_numpy()[i][cell | block], right["leaf"].to_numpy()[j][cell | block]
     return pd.DataFrame({"p": np.minimum(p, q), "q": np.maximum(p, q)})
 
 
