@@ -208,3 +208,34 @@ def test_secrets(spark, documents):
         else:
             assert not secrets
     assert secret_scan.scan(docs_of(spark, [key]), "text", "source", secret_scan.Model()).first()["n_secrets"] == 0
+
+
+def test_rare_secrets_are_reported(spark):
+    key = "AKIA" + "Q7" * 8
+    texts = [f"set {key} now", 'password = "9f8e7d6c5b4a39281706"']
+    texts += [f"thandthoutheringand{chr(97 + i // 26)}{chr(97 + i % 26)} {10**15 + i}" for i in range(300)]
+    docs = docs_of(spark, texts)
+    labelled = secret_scan.findings(docs, "text", "source").select(F.explode("candidates").alias("x"))
+    labelled = labelled.select("x", secret_scan.known_label().alias("label")).cache()
+    how = secret_scan.Training(max_findings=12)
+
+    def reported(model):
+        rows = secret_scan.scan(docs, "text", "source", model).where("n_secrets > 0").collect()
+        return {r["doc_id"]: [r["text"][x["s"] : x["e"]] for x in r["secrets"]] for r in rows}
+
+    forms = ["sk_live_" + "a1" * 12, "xoxb-1234567890-abcdef", "npm_" + "b2" * 18, "github_pat_" + "c3" * 41]
+    labels = secret_scan.findings(docs_of(spark, forms), "text", "source").select(F.explode("candidates").alias("x"))
+    assert [r[0] for r in labels.select(secret_scan.known_label()).collect()] == [1.0] * 4
+    everything = {0: [key], 1: ["9f8e7d6c5b4a39281706"]}
+    rare = secret_scan.train(labelled, how)
+    assert len(rare.trees) == how.trees
+    found = reported(rare)
+    assert {k: found.get(k) for k in everything} == everything
+    for one in (0, 1):  # a single label: no trees
+        model = secret_scan.train(labelled.where(F.col("label") == one), how)
+        assert not model.trees and reported(model) == everything
+    copies = labelled.where("label = 0 OR contains(x.m, 'AKIA')").withColumn("n", F.expr("explode(sequence(1, IF(label = 1, 9000, 1)))"))
+    assert len(secret_scan.train(copies.drop("n"), how).trees) == how.trees
+    never = secret_scan.Model(trees=[secret_scan.trees.Leaf(0.0)], labelled=True)
+    assert reported(never) == everything
+    assert reported(secret_scan.train(labelled.where("false"), how)) == everything

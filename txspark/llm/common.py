@@ -87,12 +87,21 @@ def once(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(made)))
 
 
-def bounded_sample(rows: DataFrame, h: str, most: int) -> DataFrame:
+def spread(h: str) -> Column:
+    """An even value below 2^30 from a hash column."""
+    return F.pmod(F.xxhash64(h), F.lit(1 << 30))
+
+
+def bounded_sample(rows: DataFrame, h: str, most: int, sizes: tuple[int, int] | None = None) -> DataFrame:
     """At most `most` rows, the same ones on every run, for training.
 
+    sizes: the number of rows and their smallest spread(h), where these are known; the sample
+    then is never empty, also of many copies of a few rows.
+
     Rows far above the expected cut are left out before the sort, so that each task hands on
     its share of the sample and not `most` rows.
     """
-    share = 2 * (most + 100) / max(rows.select(h).count(), 1)
-    near = rows if share >= 1 else rows.where(F.pmod(F.xxhash64(h), F.lit(1 << 30)) < int(share * (1 << 30)))
+    total, least = sizes or (rows.select(h).count(), -1)
+    share = 2 * (most + 100) / max(total, 1)
+    near = rows if share >= 1 else rows.where(spread(h) < max(int(share * (1 << 30)), least + 1))
     return near.orderBy(*rows.columns).limit(most)
