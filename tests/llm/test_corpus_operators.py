@@ -282,3 +282,20 @@ def test_pipeline_stages(spark):
     assert {r["doc_id"] for r in packed} == set(texts)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.where("false"), str(SMALL)).count() == 0
+
+
+def test_added_tokens_get_their_ids(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    texts = ["hello <|endoftext|> world", "<|endoftext|>", "a  b<|endoftext|><|endoftext|> c\n" * 900, "<|endoftext| > plain", "plain"]
+    docs_of(spark, enumerate(texts)).write.parquet(str(tmp_path / "documents.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for df in (queries.op5_packing(spark, str(tmp_path)), corpus_pipeline.packed_sequences(spark, docs, str(tmp_path))):
+        got = {(r["doc_id"], r["start"]): (r["length"], r["ids_crc32"]) for r in df.collect()}
+        for i, text in enumerate(texts):
+            ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
+            parts = sorted((start, *value) for (doc, start), value in got.items() if doc == i)
+            assert sum(n for _, n, _ in parts) == len(ids)
+            assert [c for _, _, c in parts] == [zlib.crc32(np.array(ids[a : a + n], "<u4").tobytes()) for a, n, _ in parts]

@@ -61,9 +61,10 @@ class _Words(dict):
 class _Tokens(dict):
     """Packed ids of texts, by the parts of a tokenizer of the `tokenizers` library: its
     pre-tokenizer and its model, without special tokens. As a dictionary it holds chunks,
-    their leading space implied."""
+    their leading space implied. With `added`, texts that hold an added token of the tokenizer
+    literally go through the whole tokenizer, which gives that token's own id."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         from tokenizers import Tokenizer
 
         super().__init__()
@@ -72,6 +73,8 @@ class _Tokens(dict):
         self.split = tokenizer.pre_tokenizer.pre_tokenize_str
         self.spelling = _byte_spelling()
         self.space = chr(self.spelling[32])
+        self.tokenizer = tokenizer
+        self.added = [t.content for t in tokenizer.get_added_tokens_decoder().values()] if added else []
 
     def _ids(self, text: str) -> bytes:
         return b"".join([self.words[word] for word, _ in self.split(text)])
@@ -92,6 +95,9 @@ class _Tokens(dict):
         return packed
 
     def encode(self, text: str) -> bytes:
+        if any(token in text for token in self.added):
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            return struct.pack(f"<{len(ids)}I", *ids)
         chunks = space_chunks(text)
         if chunks is None:
             return self._ids(text)
@@ -99,8 +105,8 @@ class _Tokens(dict):
 
 
 @lru_cache(maxsize=1)
-def _tokens(path: str) -> _Tokens:
-    return _Tokens(path)
+def _tokens(path: str, added: bool = False) -> _Tokens:
+    return _Tokens(path, added)
 
 
 PIECE = "struct<piece: int, start: long, length: long, ids_crc32: long, ids: binary>"
@@ -122,15 +128,18 @@ def cut(packed: bytes, capacity: int, end_id: int, with_ids: bool) -> list[dict]
     return out
 
 
-def token_pieces(text: Column, tokenizer_path: str, capacity: int, end_id: int = 0, with_ids: bool = False) -> Column:
+def token_pieces(
+    text: Column, tokenizer_path: str, capacity: int, end_id: int = 0, with_ids: bool = False, added: bool = False
+) -> Column:
     """The pieces of every whole text as an array of PIECE; a null text is an empty one.
 
-    ids are little-endian unsigned 32-bit integers, left out unless asked for.
+    ids are little-endian unsigned 32-bit integers, left out unless asked for. added: the
+    tokenizer's added tokens in a text get their own ids, else they are plain text.
     """
 
     @F.pandas_udf(f"array<{PIECE}>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        tokens = _tokens(tokenizer_path)
+        tokens = _tokens(tokenizer_path, added)
         for batch in batches:
             yield pd.Series([cut(tokens.encode(t), capacity, end_id, with_ids) for t in batch], dtype=object)
 
@@ -303,13 +312,15 @@ def pack(pieces: DataFrame, capacity: int, length: str = "length", order: tuple[
     )
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int, text: str = "text", key: str = "doc_id") -> DataFrame:
+def pack_documents(
+    docs: DataFrame, tokenizer_path: str, capacity: int, text: str = "text", key: str = "doc_id", added: bool = False
+) -> DataFrame:
     """All documents as pieces with their places: key, piece, start, length, ids_crc32,
     sequence_id, offset.
 
     Null and empty texts are one piece that holds only the end id. Repeated rows are packed
-    as often as they stand there. Other columns are left out.
+    as often as they stand there. Other columns are left out. added: see token_pieces().
     """
-    cut_up = token_pieces(F.col(text), tokenizer_path, capacity)
+    cut_up = token_pieces(F.col(text), tokenizer_path, capacity, added=added)
     pieces = docs.select(F.col(key).alias("doc_id"), F.explode(cut_up).alias("p")).select("doc_id", "p.*").drop("ids")
     return pack(stored(pieces, "pieces"), capacity).withColumnRenamed("doc_id", key)
