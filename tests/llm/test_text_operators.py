@@ -239,3 +239,29 @@ def test_rare_secrets_are_reported(spark):
     never = secret_scan.Model(trees=[secret_scan.trees.Leaf(0.0)], labelled=True)
     assert reported(never) == everything
     assert reported(secret_scan.train(labelled.where("false"), how)) == everything
+
+
+def test_looser_personal_data_is_added(spark):
+    rng = random.Random(6)
+    some = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    texts = []
+    for i in range(400):
+        ip = ".".join(str(rng.randrange(10, 250)) for _ in range(4))
+        texts.append(f"the w.{i}@mail{i % 9}.example.com of {ip} thand +1 ({some(3)}) 555-{some(4)} ther {some(3)} {some(4)} {some(2)} and")
+    texts += [f"und ({some(3)}) 555-{some(4)} und" for _ in range(300)]  # bare phones
+    texts += [f"and me{i} (at) host{i} (dot) org" for i in range(300)]
+    model = pii.train(docs_of(spark, texts), "text")
+    assert {"email", "ip", "phone"} <= set(model.thresholds)
+    planted = [
+        ("write anne (at) mail3 (dot) example (dot) com now", "email", "anne (at) mail3 (dot) example (dot) com"),
+        ("write bob [at] host (dot) org now", "email", "bob [at] host (dot) org"),
+        ("thand (017) 555-7713 ther", "phone", "(017) 555-7713"),
+        ("of 2001:db8:85a3:1:2:8a2e:370:7334 the", "ip", "2001:db8:85a3:1:2:8a2e:370:7334"),
+        ("of 2001:db8::8a2e:370:7334 the", "ip", "2001:db8::8a2e:370:7334"),
+    ]
+    none = ["on 2024-01-15 we", "on 2024-01-15 10:30 we", "on 15.01.2024 we", "in 2019-2020 we", "at 12:34:56 we", "mac 00:1a:2b:3c:4d:5e is", "noon (at) home"]
+    docs = docs_of(spark, [t for t, _, _ in planted] + none)
+    got = {r["doc_id"]: r["spans"] for r in pii.detect(docs.select("doc_id", "text"), "text", model).collect()}
+    for i, (text, kind, m) in enumerate(planted):
+        assert got[i] == f"{kind}:{text.index(m)}:{text.index(m) + len(m)}", text
+    assert not any(got[len(planted) + i] for i in range(len(none))), got
