@@ -16,12 +16,14 @@ from txspark.llm import (
     ngram_join,
     oracle,
     packing,
+    periodic_runs,
     pii,
     quality_rules,
     secret_scan,
     sharding,
 )
-from txspark.llm.common import held_out, read, stored
+from txspark.llm.common import held_out, once, read, stored
+from txspark.llm.spans import literal
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -112,6 +114,35 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _with_planted_runs(doc_id: str, text: str) -> str:
+    """SQL for the text in which every tenth document, by id hash, repeats a stretch of its words."""
+    h, word = f"crc32(CAST({doc_id} AS STRING))", literal("[^\\x20\\x09-\\x0D]+")
+    bound = f"transform(array(regexp_extract_all({text}, {word}, 0)), w -> struct(w AS w, size(w) AS n, {h} div 10 AS g))"
+    spot = f"transform({bound}, x -> struct(x.w AS w, x.n AS n, x.g % x.n AS a, 3 + x.g % 8 AS k))"
+    spot = f"transform({spot}, x -> struct(x.w AS w, x.n AS n, x.a AS a, 1 + (x.n - x.a) div x.k AS p))"
+    taken = "IF(i < x.a, i, x.a + (i - x.a) % x.p)"
+    moved = f"transform({spot}, x -> transform(sequence(0, x.n - 1), i -> element_at(x.w, CAST({taken} AS INT) + 1)))"
+    return f"CASE WHEN {h} % 10 = 0 AND {text} RLIKE {word} THEN array_join(flatten({moved}), ' ') ELSE {text} END"
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    # a step of its own: Python functions do not take arguments that hold lambda functions
+    docs = once(docs, planted=F.expr(_with_planted_runs("doc_id", "text")))
+    found = docs.select("doc_id", periodic_runs.detect(F.col("planted")).alias("x"))
+    spelled = "array_join(transform(x.runs, r -> concat(r.start, ',', r.length, ',', r.period, chr(10))), '')"
+    return found.select(
+        "doc_id",
+        F.size("x.runs").cast("long").alias("n_runs"),
+        "x.strongest.start",
+        "x.strongest.length",
+        "x.strongest.period",
+        F.expr("1000 * x.strongest.length div x.strongest.period").alias("exponent_milli"),
+        F.expr(f"sha2({spelled}, 256)").alias("runs_sha256"),
+        F.sha2("x.collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -130,6 +161,7 @@ def queries() -> dict[str, Query]:
         "op8_secret_scan": op8_secret_scan,
         "op9_factorisation_machine": op9_factorisation_machine,
         "op10_pii": op10_pii,
+        "op13_periodic_runs": op13_periodic_runs,
         "pipeline": pipeline,
     }
 
