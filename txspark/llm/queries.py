@@ -21,6 +21,7 @@ from txspark.llm import (
     quality_rules,
     secret_scan,
     sharding,
+    whitening,
 )
 from txspark.llm.common import held_out, once, read, stored
 from txspark.llm.spans import literal
@@ -114,6 +115,20 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    out = whitening.whitened(vectors, "embedding").select("vec_id", "whitening")
+    return out.select("vec_id", "whitening", F.explode("whitening.components").alias("c")).select(
+        "vec_id",
+        "c.component",
+        "whitening.n",
+        "whitening.deviation",
+        "c.whitened",
+        "c.explained",
+        "whitening.identity_error",
+    )
+
+
 def _with_planted_runs(doc_id: str, text: str) -> str:
     """SQL for the text in which every tenth document, by id hash, repeats a stretch of its words."""
     h, word = f"crc32(CAST({doc_id} AS STRING))", literal("[^\\x20\\x09-\\x0D]+")
@@ -161,6 +176,7 @@ def queries() -> dict[str, Query]:
         "op8_secret_scan": op8_secret_scan,
         "op9_factorisation_machine": op9_factorisation_machine,
         "op10_pii": op10_pii,
+        "op12_embedding_whitening": op12_embedding_whitening,
         "op13_periodic_runs": op13_periodic_runs,
         "pipeline": pipeline,
     }
