@@ -121,6 +121,57 @@ SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
 FROM base LEFT JOIN (SELECT doc_id, d FROM class_far) c USING (doc_id) LEFT JOIN (SELECT doc_id, d FROM word_far) w USING (doc_id)
 """
 
+# Runs by brute force: stretches of 16 words that recur in a text, joined to islands of each distance.
+PERIODIC_RUNS = r"""
+WITH base AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+    xor(4294967295, list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+        lambda r, z: CASE WHEN r % 2 = 1 THEN xor(r // 2, 3988292384::BIGINT) ELSE r // 2 END))) AS h
+  FROM documents
+),
+spots AS (
+  SELECT doc_id, ws, len(ws) AS n, doc_id IS NOT NULL AND h % 10 = 0 AND len(ws) > 0 AS moved, (h // 10) % greatest(len(ws), 1) AS a, 3 + (h // 10) % 8 AS k
+  FROM base
+),
+texts AS (
+  SELECT doc_id, n, CASE WHEN moved THEN list_transform(range(n),
+    lambda i: ws[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // k) END]) ELSE ws END AS ws
+  FROM spots
+),
+-- a run holds at least 16 words that equal the ones a period further on, so stretches of 16 words recur
+stretches AS (
+  SELECT doc_id, n, unnest(range(n - 15)) AS i, unnest(list_transform(range(n - 15), lambda j: array_to_string(ws[j + 1:j + 16], ' '))) AS g
+  FROM texts WHERE n >= 24
+),
+again AS (
+  SELECT x.doc_id, x.i, y.i - x.i AS q FROM stretches x JOIN stretches y
+  ON x.doc_id = y.doc_id AND x.g = y.g AND y.i > x.i AND 3 * (y.i - x.i) <= x.n
+),
+islands AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM again),
+periodic AS (
+  SELECT doc_id, q, min(i) AS s, count(*) + 15 + q AS len FROM islands GROUP BY doc_id, q, island
+  HAVING count(*) + 15 + q >= greatest(24, 3 * q)
+),
+runs AS (SELECT doc_id, s, len, min(q) AS q FROM periodic GROUP BY doc_id, s, len),
+dropped AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + len)) AS i FROM runs),
+gone AS (SELECT doc_id, list(i) AS gone FROM dropped GROUP BY doc_id),
+strongest AS (
+  SELECT doc_id, s, len, q FROM runs r WHERE NOT EXISTS (
+    SELECT 1 FROM runs o WHERE o.doc_id = r.doc_id AND (o.len * r.q > r.len * o.q
+      OR o.len * r.q = r.len * o.q AND (o.s < r.s OR o.s = r.s AND o.q < r.q)))
+),
+told AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || len || ',' || q || chr(10), '' ORDER BY s, q) AS spelled FROM runs GROUP BY doc_id
+)
+SELECT t.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, s::BIGINT AS "start", len::BIGINT AS "length", q::BIGINT AS "period",
+  (1000 * len // q)::BIGINT AS exponent_milli, sha256(coalesce(spelled, '')) AS runs_sha256,
+  sha256(array_to_string(CASE WHEN gone IS NULL THEN ws
+    ELSE list_filter(ws, lambda x, i: NOT list_contains(gone, i - 1)) END, ' ')) AS collapsed_sha256
+FROM texts t LEFT JOIN told ON told.doc_id = t.doc_id LEFT JOIN strongest b ON b.doc_id = t.doc_id LEFT JOIN gone ON gone.doc_id = t.doc_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     columns = "doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept"

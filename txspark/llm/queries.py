@@ -21,6 +21,7 @@ from txspark.llm import (
     quality_rules,
     secret_scan,
     sharding,
+    toxicity,
     whitening,
 )
 from txspark.llm.common import held_out, once, read, stored
@@ -115,6 +116,17 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+TOXIC_CUT = 0.7
+
+
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    docs = read(spark, sf_dir, "documents").select("doc_id", held.alias("held_out"), "text")
+    model = toxicity.train(docs, read(spark, sf_dir, "labels").where(~held), "text", "doc_id", "toxic")
+    scored = docs.select("doc_id", "held_out", toxicity.score(model, F.col("text")).alias("x"))
+    return scored.select("doc_id", "held_out", "x.score", (F.col("x.score") >= TOXIC_CUT).cast("int").alias("predicted"))
+
+
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     out = whitening.whitened(vectors, "embedding").select("vec_id", "whitening")
@@ -176,6 +188,7 @@ def queries() -> dict[str, Query]:
         "op8_secret_scan": op8_secret_scan,
         "op9_factorisation_machine": op9_factorisation_machine,
         "op10_pii": op10_pii,
+        "op11_toxicity": op11_toxicity,
         "op12_embedding_whitening": op12_embedding_whitening,
         "op13_periodic_runs": op13_periodic_runs,
         "pipeline": pipeline,
