@@ -241,6 +241,9 @@ COLUMNS = {
     "op8_secret_scan": {"doc_id", "n_candidates", "n_secrets", "secrets"},
     "op9_factorisation_machine": {"doc_id", "held_out", "score", "predicted"},
     "op10_pii": {"doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"},
+    "op11_toxicity": {"doc_id", "held_out", "score", "predicted"},
+    "op12_embedding_whitening": {"vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"},
+    "op13_periodic_runs": {"doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"},
     "pipeline": {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"},
 }
 
@@ -255,8 +258,8 @@ def test_query(spark, tables, name):
     df = queries.queries()[name](spark, str(SMALL))
     assert COLUMNS[name] <= set(df.columns)
     rows = df.collect()
-    table = "embeddings" if name.startswith("op7") else "documents"
-    count = tables.execute(f"SELECT count(*) FROM {table}").fetchall()[0][0]
+    table = "embeddings" if name.startswith(("op7", "op12")) else "documents"
+    count = tables.execute(f"SELECT count(*) FROM {table}").fetchall()[0][0] * (32 if name.startswith("op12") else 1)
     if name not in ("op5_packing", "pipeline"):
         assert len(rows) == count
     if sql := oracle.oracle_sql().get(name):

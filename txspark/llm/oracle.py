@@ -179,4 +179,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_quality_rules": f"SELECT {columns} FROM ({QUALITY_RULES})",
         "op6_ngram_jaccard_join": NGRAM_JACCARD_JOIN,
         "op7_cover_tree_dedup": COVER_TREE_DEDUP,
+        "op13_periodic_runs": PERIODIC_RUNS,
     }

@@ -38,8 +38,9 @@ LONG = 1 << 63
 @dataclass(frozen=True)
 class Settings:
     """components wanted; guard: further columns of the subspace; growth: the largest power of e
-    by which one filter round may raise the first component (double precision bears no more);
-    residual: of an eigenvector, relative to the largest eigenvalue."""
+    by which one filter round may raise a component (double precision bears no more); residual:
+    of an eigenvector, relative to the largest eigenvalue; settled: where it may stay if it no
+    longer falls; missed: the odds at which no eigenvalue counts as missed."""
 
     components: int = 32
     guard: int = 16
@@ -49,7 +50,7 @@ class Settings:
     residual: float = 2e-14
     settled: float = 1e-11
     missed: float = 1e-9
-    most_rounds: int = 80
+    most_passes: int = 600
     seed: int = 3
 
 
@@ -280,7 +281,7 @@ def _iterate(passes: _Passes, settings: Settings) -> tuple[float, np.ndarray, np
     width = min(d, wanted + settings.guard)
     rng = np.random.default_rng(settings.seed)
     if width == d:
-        # the subspace is everything: one pass and Rayleigh-Ritz are exact
+        # the subspace is everything, and Rayleigh-Ritz on it exact after one pass
         whole, trace = passes.times(np.eye(d))
         values, vectors = np.linalg.eigh((whole + whole.T) / 2)
         return trace, values[::-1][:wanted].clip(0), vectors[:, ::-1][:, :wanted]
@@ -297,45 +298,68 @@ def _iterate(passes: _Passes, settings: Settings) -> tuple[float, np.ndarray, np
         probe = rng.normal(size=d)
         return np.column_stack([block, probe / np.linalg.norm(probe)])
 
+    # eigenvectors at rounding level are locked: all else stays orthogonal to them, so that they
+    # no longer bound the growth that a round may have
+    locked, fixed = np.zeros((d, 0)), np.zeros(0)
+
+    def apart(block: np.ndarray) -> np.ndarray:
+        return block - locked @ (locked.T @ block)
+
     q = with_probe(np.linalg.qr(rng.normal(size=(d, width)))[0])
     product, trace = times(q)
     probes: list[_Probe] = []
     seen: list[float] = []
-    for _ in range(settings.most_rounds):
+    while True:
         # Rayleigh-Ritz; the last column is the next round's probe
         small = q[:, :-1].T @ product[:, :-1]
         values, turn = np.linalg.eigh((small + small.T) / 2)
         values, turn = values[::-1], turn[:, ::-1]
         q[:, :-1], product[:, :-1] = q[:, :-1] @ turn, product[:, :-1] @ turn
-        top = float(values[0])
+        found = np.concatenate([fixed, values])
+        order = np.argsort(-found, kind="stable")[:wanted]
+        top = float(found[order[0]])
         if top <= 0:
             return trace, np.zeros(wanted), q[:, :wanted]
-        real = np.flatnonzero(values[:wanted] > _nothing(values))
-        last = float(values[real[-1]])
-        seen.append(float(np.linalg.norm(product[:, real] - q[:, real] * values[real], axis=0).max()) / top)
-        low = min(lanczos.least(), float(values[-1]))
+        last = float(found[order][found[order] > _nothing(found)][-1])
+        open_ = np.array([c for c in (order - len(fixed)).tolist() if c >= 0 and values[c] >= last], int)
+        beside = np.linalg.norm(product[:, open_] - q[:, open_] * values[open_], axis=0) / top
+        seen.append(float(beside.max(initial=0.0)))
         # rounding may keep residuals a little above the aim: then they no longer fall
         stuck = seen[-1] < settings.settled and seen[-1] > 0.3 * min([1.0, *seen[-4:-1]])
-        if seen[-1] <= settings.residual or stuck:
-            odds = sum(p.log_odds(q[:, :-1], last + 1e-9 * top) for p in probes)
-            if odds <= np.log(settings.missed) or top - low <= 1e-9 * top:
-                return trace, values[:wanted].clip(0), q[:, :wanted].copy()
+        done = open_[: int(np.argmax(np.append((beside > settings.residual) & (not stuck), True)))]
+        low = min(lanczos.least(), float(values[-1]))
+        odds = -np.inf if top - low <= 1e-9 * top else sum(p.log_odds(np.column_stack([locked, q[:, :-1]]), last + 1e-9 * top) for p in probes)
+        goal = np.log(settings.missed)
+        if len(done) == len(open_) and odds <= goal:
+            vectors = np.column_stack([locked, q[:, :-1]])
+            return trace, found[order].clip(0), vectors[:, order]
+        if passes.done > settings.most_passes:
+            raise RuntimeError(f"Components not certified in {passes.done} passes; the residual is {seen[-1]:.1e}")
         cut = max(min(float(values[-1]), low + 0.999 * (last - low)), low + 1e-9 * top)
         middle, half = (cut + low) / 2, (cut - low) / 2
-        first = (top - middle) / half
-        degree = int(np.clip(settings.growth / np.arccosh(first), 2, settings.most_degree))
+        locked, fixed = np.column_stack([locked, q[:, done]]), np.concatenate([fixed, values[done]])
+        kept = np.setdiff1d(np.arange(q.shape[1]), done)
+        q, product = q[:, kept], apart(product[:, kept])
+        q[:, -1] = apart(q[:, -1])
+        values = np.delete(values, done)
+        first = max((float(values.max(initial=cut)) - middle) / half, 1 + 1e-9)
+        if len(done) == len(open_):
+            # only the proof is left: as far as it takes
+            degree = int((odds - goal + np.log(d) / 2 + 2) / np.arccosh((last + 1e-9 * top - middle) / half)) + 1
+            degree = min(degree, max(settings.most_passes - passes.done, 2), int(600 / np.arccosh(max((top - middle) / half, 1.001))))
+        else:
+            degree = int(np.clip(settings.growth / np.arccosh(first), 2, settings.most_degree))
         # the recurrence, scaled so that the first component keeps its size
         shrink = 1 / first
-        before, now = q, (product - middle * q) * (shrink / half)
+        before, now = q, apart((product - middle * q) * (shrink / half))
         for _ in range(1, degree):
             step = 1 / (2 * first - shrink)
             product, _ = times(now)
-            before, now = now, (2 * step / half) * (product - middle * now) - (shrink * step) * before
+            before, now = now, apart((2 * step / half) * (product - middle * now) - (shrink * step) * before)
             shrink = step
         probes.append(_Probe(now[:, -1].copy(), middle, half, first, degree))
-        q = with_probe(np.linalg.qr(now[:, :-1])[0])
+        q = with_probe(np.linalg.qr(apart(np.linalg.qr(now[:, :-1])[0]))[0])
         product, _ = times(q)
-    raise RuntimeError(f"Components not certified in {settings.most_rounds} rounds; the residual is {seen[-1]:.1e}")
 
 
 def fit(rows: DataFrame, x: str, settings: Settings = Settings()) -> dict[int, Model]:
