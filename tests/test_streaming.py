@@ -180,3 +180,84 @@ def test_limit_per_trigger(spark, parts_dir, tmp_path):
         map(tuple, read_transactions(spark, folder).collect()), key=str
     )
     assert len(batches) >= 3
+
+
+def trial(parts_dir, tail=""):
+    lines = [f"row{i:05d}" for i in range(2000)]
+    data = "h\n" + "\n".join(lines) + "\n" + tail
+    return parts_dir(data[:7001], data[7001:7003], data[7003:]), lines + ([tail] if tail else [])
+
+
+def lines_in(spark, out):
+    return sorted(r.value for r in spark.read.schema("value string").parquet(out).collect())
+
+
+@pytest.mark.parametrize("bounded", [True, False])
+@pytest.mark.parametrize("tail", ["", "tail"])
+def test_a_limited_stream_is_drained_by_one_call(spark, parts_dir, tmp_path, bounded, tail):
+    folder, lines = trial(parts_dir, tail)
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    stream = stream_lines(spark, folder, bounded=bounded, maxBytesPerTrigger=5000, flush=bool(tail))
+    writer = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+    query = live.started(writer, out).awaitTermination()
+    assert lines_in(spark, out) == lines
+    sizes = [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+    assert len(sizes) >= 4 and max(sizes) <= 5000 // 9 + 1
+    assert not query.isActive
+    live.started(writer, out).awaitTermination()
+    assert lines_in(spark, out) == lines
+
+
+def test_the_end_of_a_bounded_run_is_fixed(spark, parts_dir, tmp_path):
+    """Parts that arrive after the start are for the next run, on the same checkpoint."""
+    folder, lines = trial(parts_dir)
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+
+    def run(stream):
+        writer = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+        live.started(writer, out).awaitTermination()
+        return lines_in(spark, out)
+
+    first = stream_lines(spark, folder, bounded=True, maxBytesPerTrigger=4000)
+    put(folder, 3, "s1\ns2\ns")
+    assert run(first) == lines
+    put(folder, 4, "3\n")
+    assert run(first) == lines
+    assert run(stream_lines(spark, folder, bounded=True, maxBytesPerTrigger=4000)) == [*lines, "s1", "s2", "s3"]
+    # an end that lies behind what is done changes nothing
+    assert run(first) == [*lines, "s1", "s2", "s3"]
+    put(folder, 2, "other\n")
+    with pytest.raises(Exception, match="has changed"):
+        run(stream_lines(spark, folder, bounded=True, maxBytesPerTrigger=4000))
+
+
+def test_a_part_that_changes_after_the_end_was_fixed_is_an_error(spark, parts_dir, tmp_path):
+    folder, _ = trial(parts_dir)
+    stream = stream_lines(spark, folder, bounded=True)
+    put(folder, 1, "xyz\n")
+    writer = stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c"))
+    with pytest.raises(Exception, match="has changed"):
+        live.started(writer, str(tmp_path / "out")).awaitTermination()
+
+
+def test_a_broken_off_run_goes_on(spark, parts_dir, tmp_path):
+    """A run that fails between two batches leaves the rest to the next run: nothing twice."""
+    folder, lines = trial(parts_dir, "tail")
+    checkpoint, got = str(tmp_path / "checkpoint"), {}
+    stream = stream_lines(spark, folder, bounded=True, maxBytesPerTrigger=3000, flush=True)
+
+    def run(fails_at):
+        def take(batch, number):
+            if number == fails_at:
+                raise RuntimeError("broken off")
+            got[number] = [r.value for r in batch.collect()]
+
+        writer = stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
+        live.started(writer).awaitTermination()
+
+    for fails_at in (0, 2, 5):
+        with pytest.raises(Exception, match="broken off"):
+            run(fails_at)
+        assert len(got) == fails_at
+    run(-1)
+    assert sorted(x for rows in got.values() for x in rows) == lines

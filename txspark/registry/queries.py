@@ -262,12 +262,16 @@ def _state_partitions(spark: SparkSession, size: int) -> int:
     return shuffle_partitions(size, spark.sparkContext.defaultParallelism)
 
 
+def _limited(raw_dir: str) -> dict[str, object]:
+    """A bounded stream over the parts, taken in a few micro-batches whatever their size."""
+    return {"bounded": True, "flush": True, "maxBytesPerTrigger": max(find_parts(raw_dir)[-1].end // 4, 1)}
+
+
 def stream_ingest(spark: SparkSession, raw_dir: str) -> DataFrame:
     base = new_shared_dir(spark, "stream")
-    rows = stream_transactions(spark, raw_dir, flush=True)
-    writer = rows.writeStream.option("checkpointLocation", f"{base}/checkpoint")
-    query = writer.trigger(availableNow=True).format("parquet").start(f"{base}/raw")
-    query.awaitTermination()
+    rows = stream_transactions(spark, raw_dir, **_limited(raw_dir))
+    writer = rows.writeStream.option("checkpointLocation", f"{base}/checkpoint").format("parquet")
+    live.started(writer, f"{base}/raw").awaitTermination()
     return spark.read.schema(rows.schema).parquet(f"{base}/raw")
 
 
@@ -288,7 +292,7 @@ def stream_region_risk(spark: SparkSession, raw_dir: str) -> DataFrame:
     """Parts, byte-split stream, cleaning and table in one query."""
     base = new_shared_dir(spark, "stream")
     query = live.start_region_risk(
-        clean(stream_transactions(spark, raw_dir, flush=True)),
+        clean(stream_transactions(spark, raw_dir, **_limited(raw_dir))),
         f"{base}/table",
         f"{base}/checkpoint",
         state_partitions=_state_partitions(spark, find_parts(raw_dir)[-1].end),

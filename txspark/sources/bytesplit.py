@@ -13,7 +13,8 @@ Options: `pattern` (part names), `rangeBytes` (size of a Spark partition; by def
 follows the input size and `cores`), `header` (skip the first line), `withPosition` (add each
 line's byte position), `listing` (fingerprint of the parts that must be there, no more and
 no less), and for streams `flush` (emit a last record that has no line end) and
-`maxBytesPerTrigger` (how much one micro-batch takes, at least one line).
+`maxBytesPerTrigger` (how much one micro-batch takes, at least one line) and `until` (an end
+taken by `end_offset`, beyond which the stream does not go).
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from __future__ import annotations
 import csv
 import fnmatch
 import hashlib
+import json
 from collections.abc import Iterator, Sequence
 from itertools import accumulate, chain
 
@@ -307,6 +309,7 @@ class _Options:
             raise ValueError("rangeBytes must be positive")
         self.listing = options.get("listing")
         self.most = int(options.get("maxBytesPerTrigger", 0))
+        self.until = json.loads(options["until"]) if options.get("until") else None
         self.header = options.get("header", "true").lower() == "true"
         self.flush = options.get("flush", "false").lower() == "true"
         self.with_position = options.get("withPosition", "false").lower() == "true"
@@ -364,7 +367,8 @@ class ByteSplitStreamReader(_RangeReader, DataSourceStreamReader):
     def __init__(self, options: _Options) -> None:
         super().__init__(options)
         self._data_start: int | None = None
-        self._reached: int | None = None  # the last offset given out in this run
+        self._reached: int | None = None  # the last position given out in this run
+        self._planned: dict | None = None  # the last offset Spark has planned up to
 
     def _floor(self, parts: Sequence[Part]) -> int:
         """Where data starts, found once the header line is complete."""
@@ -378,9 +382,25 @@ class ByteSplitStreamReader(_RangeReader, DataSourceStreamReader):
     def initialOffset(self) -> dict:
         return self._offset(self._floor(self.options.parts()), [], False)
 
+    def _in_sight(self) -> list[Part]:
+        """The parts up to the fixed end, or all."""
+        parts, until = self.options.parts(), self.options.until
+        if until is None:
+            return parts
+        parts = parts[: until["parts"]]
+        if fingerprint(parts) != until["fingerprint"]:
+            raise ValueError("Since the end of this run was fixed, a part has changed or a new part sorts before it")
+        return parts
+
     def latestOffset(self) -> dict:
+        """What the next batch may reach: never behind what is done, never beyond a fixed end."""
+        found = self._latest(self._in_sight())
+        if self._planned and found["position"] <= self._planned["position"] and not found["unfinished"]:
+            return self._planned
+        return found
+
+    def _latest(self, parts: Sequence[Part]) -> dict:
         opts = self.options
-        parts = opts.parts()
         floor = self._floor(parts)
         position = last_line_end(opts.path, opts.pattern, parts, floor)
         total = max(parts[-1].end, floor)
@@ -427,6 +447,8 @@ class ByteSplitStreamReader(_RangeReader, DataSourceStreamReader):
     def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
         parts = self.options.parts()
         self._reached = max(self._reached or 0, end["position"])
+        if self._planned is None or end["position"] >= self._planned["position"]:
+            self._planned = end
         for offset in (start, end):
             if fingerprint(parts[: offset["parts"]]) != offset["fingerprint"]:
                 raise ValueError(
@@ -440,6 +462,13 @@ class ByteSplitStreamReader(_RangeReader, DataSourceStreamReader):
         return self.options.ranges(covered, begin, end["position"])
 
 
+def end_offset(path: str, pattern: str = PATTERN, **options: object) -> str:
+    """The end of what lies in `path` now, for the option `until`: a stream with this end takes
+    these parts, in as many batches as its limit makes, and no part that arrives later."""
+    texts = {k: str(v) for k, v in options.items() if k not in ("maxBytesPerTrigger", "until")}
+    return json.dumps(ByteSplitStreamReader(_Options(texts | {"path": path, "pattern": pattern})).latestOffset())
+
+
 class ByteSplitSource(DataSource):
     @classmethod
     def name(cls) -> str:

@@ -15,7 +15,7 @@ from txspark.functions.sqltext import ident
 from txspark.functions.text import NULL_TOKENS, null_if_token
 from txspark.schema import RAW_SCHEMA, missing_columns
 from txspark.sources import bytesplit
-from txspark.sources.bytesplit import PATTERN, Part, read_header, split_header
+from txspark.sources.bytesplit import PATTERN, Part, end_offset, read_header, split_header
 
 
 def register(spark: SparkSession) -> None:
@@ -34,10 +34,16 @@ def read_lines(
 
 
 def stream_lines(
-    spark: SparkSession, path: str, pattern: str = PATTERN, **options: object
+    spark: SparkSession, path: str, pattern: str = PATTERN, bounded: bool = False, **options: object
 ) -> DataFrame:
-    """The same lines as a stream that follows new parts."""
+    """The same lines as a stream that follows new parts.
+
+    bounded: the stream ends with the parts that are there now, however many batches
+    `maxBytesPerTrigger` makes of them; later parts are for the next run on the same checkpoint.
+    """
     register(spark)
+    if bounded:
+        options = options | {"until": end_offset(path, pattern, **options)}
     reader = spark.readStream.format("bytesplit")
     reader = reader.option("cores", spark.sparkContext.defaultParallelism)
     return reader.option("pattern", pattern).options(**options).load(path)

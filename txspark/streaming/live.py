@@ -15,7 +15,7 @@ from contextlib import contextmanager
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from txspark.operators.ranking import top_k
 from txspark.plans.tables import receiver_order, region_means, region_order, sales
@@ -45,6 +45,39 @@ def stream_settings(spark: SparkSession, state_partitions: int | None = None) ->
                 spark.conf.set(key, value)
 
 
+class Drain:
+    """A query that takes all its source may give and then ends.
+
+    Batches keep the source's own limit; one checkpoint holds through all of them, so that a
+    run that was broken off goes on where it stood. A bounded source (`bounded=True`) has a fixed
+    end; without one the run ends as soon as nothing new is there.
+    """
+
+    def __init__(self, query: StreamingQuery) -> None:
+        self.query = query
+
+    def awaitTermination(self) -> StreamingQuery:  # noqa: N802, as in StreamingQuery
+        """Returns the ended query; a failure of the query is raised."""
+        try:
+            self.query.processAllAvailable()
+        finally:
+            self.query.stop()
+        return self.query
+
+    def stop(self) -> None:
+        self.query.stop()
+
+
+def started(writer: DataStreamWriter, path: str | None = None, **trigger: object) -> StreamingQuery | Drain:
+    """Start with the given trigger, or drain the source if there is none.
+
+    `availableNow` is no way to drain a limited source: it ends after the first batch.
+    """
+    if trigger:
+        return writer.trigger(**trigger).start(path)
+    return Drain(writer.trigger(processingTime="0 seconds").start(path))
+
+
 def start_table(
     aggregated: DataFrame,
     path: str,
@@ -52,7 +85,7 @@ def start_table(
     shape: Callable[[DataFrame], DataFrame],
     state_partitions: int | None = None,
     **trigger: object,
-) -> StreamingQuery:
+) -> StreamingQuery | Drain:
     """Run a complete-mode aggregate and store `shape` of it after every trigger.
 
     Every version has a folder of its own, named by the start of the query and the batch, and
@@ -72,7 +105,7 @@ def start_table(
     with stream_settings(aggregated.sparkSession, state_partitions):
         writer = aggregated.writeStream.outputMode("complete").foreachBatch(store)
         writer = writer.option("checkpointLocation", checkpoint)
-        return writer.trigger(**(trigger or {"availableNow": True})).start()
+        return started(writer, **trigger)
 
 
 def _versions(path: str, complete: bool = True) -> list[str]:
@@ -96,7 +129,7 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 def start_region_risk(
     cleaned: DataFrame, path: str, checkpoint: str, **options: object
-) -> StreamingQuery:
+) -> StreamingQuery | Drain:
     """Keep the regions by mean risk current in `path`."""
     return start_table(
         region_means(cleaned), path, checkpoint, lambda t: t.orderBy(*region_order()), **options
