@@ -35,13 +35,15 @@ CACHE_ENTRIES = 100_000
 class Settings:
     """max_examples: labelled rows of each label, the bound of the sample that is learned from.
     stems: lengths of word beginnings that count as terms of their own. false_terms: the share
-    of chosen terms that may be there by chance. near: distance at which a vote halves."""
+    of chosen terms that may be there by chance. cover: terms that an example needs before further
+    ones count as no help to it. near: distance at which a vote halves."""
 
     max_examples: int = 4000
     max_terms: int = 1000
     least_texts: int = 3
     stems: tuple[int, ...] = (4, 5, 6, 7)
     false_terms: float = 0.05
+    cover: int = 5
     neighbours: int = 15
     block: int = 32
     near: float = 0.05
@@ -311,19 +313,49 @@ def train(docs: DataFrame, labels: DataFrame, text: str, key: str, label: str, s
     sizes = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return Model(settings)
-    vocabulary = Vocabulary(_chosen_terms(sample, settings, sizes), settings.stems)
+    likely = Vocabulary(_chosen_terms(sample, settings, sizes), settings.stems)
+    vocabulary = Vocabulary(_helpful(likely.terms, _counted(sample, likely), settings), settings.stems)
     vocabulary.idf = _document_frequencies(docs, text, vocabulary)
+    share = all_of.get(1, 0) / sum(all_of.values())
+    return _assembled(settings, vocabulary, _counted(sample, vocabulary), share)
 
-    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def _counted(sample: DataFrame, vocabulary: Vocabulary) -> list[tuple[str, int, dict[int, int]]]:
+    """(id, label, how often each term stands in it) of the sample's texts, which bound it."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = [sorted(vocabulary.counts(t).items()) for t in batch["t"]]
             yield pd.DataFrame(
                 {"id": batch["id"].astype(str), "y": batch["y"], "i": [[k for k, _ in r] for r in rows], "n": [[n for _, n in r] for r in rows]}
             )
 
-    found = sample.mapInPandas(counted, "id string, y int, i array<int>, n array<int>").orderBy("id", "y", "i").collect()
-    share = all_of.get(1, 0) / sum(all_of.values())
-    return _assembled(settings, vocabulary, [(r["id"], r["y"], dict(zip(r["i"], r["n"], strict=True))) for r in found], share)
+    found = sample.mapInPandas(run, "id string, y int, i array<int>, n array<int>").orderBy("id", "y", "i", "n").collect()
+    return [(r["id"], r["y"], dict(zip(r["i"], r["n"], strict=True))) for r in found]
+
+
+def _helpful(terms: list[str], examples: list[tuple[str, int, dict[int, int]]], settings: Settings) -> list[str]:
+    """Of terms that stand in the same texts the longest; then, the surest first, those that
+    stand in enough texts of label 1 that few terms have been found for. The words that a
+    group of near copies shares go, as long as its texts hold surer ones."""
+    texts: list[list[int]] = [[] for _ in terms]
+    for e, (_, _, seen) in enumerate(examples):
+        for t in seen:
+            if t < len(terms):
+                texts[t].append(e)
+    longest: dict[tuple[int, ...], int] = {}
+    for t, own in enumerate(texts):
+        other = longest.setdefault(tuple(own), t)
+        if len(terms[t]) > len(terms[other]):
+            longest[tuple(own)] = t
+    held = Counter()
+    kept = []
+    for t in sorted(longest.values()):
+        toxic = [e for e in texts[t] if examples[e][1] == 1]
+        if sum(held[e] < settings.cover for e in toxic) >= settings.least_texts:
+            held.update(toxic)
+            kept.append(terms[t])
+    return kept
 
 
 def _assembled(settings: Settings, vocabulary: Vocabulary, examples: list[tuple[str, int, dict[int, int]]], share: float) -> Model:
