@@ -8,8 +8,8 @@ from pathlib import Path
 import pytest
 from conftest import HEADER, csv_line, raw_row
 
-from txspark.plans.clean import clean
-from txspark.plans.tables import region_risk, top_receivers
+from txspark.plans.clean import clean, valid_rows
+from txspark.plans.tables import receiver_order, region_risk, top_receivers
 from txspark.schema import COLUMNS, RAW_SCHEMA
 from txspark.sources.lines import read_transactions, stream_lines, stream_transactions
 from txspark.streaming import live
@@ -261,3 +261,98 @@ def test_a_broken_off_run_goes_on(spark, parts_dir, tmp_path):
         assert len(got) == fails_at
     run(-1)
     assert sorted(x for rows in got.values() for x in rows) == lines
+
+
+def day(d: int, amount: float, receiver: str) -> dict:
+    return raw_row(timestamp=1_700_000_000 + d * 86_400, amount=amount, receiving_address=receiver, transaction_type="sale")
+
+
+def arrive(spark, source: str, rows: list[dict]) -> None:
+    df = spark.createDataFrame([tuple(r[c] for c in COLUMNS) for r in rows], RAW_SCHEMA)
+    df.coalesce(1).write.mode("append").parquet(source)
+
+
+def latest_by_hand(rows):
+    """(day, amount) of each receiver's latest sale."""
+    latest = {}
+    for r in rows:
+        if r["transaction_type"].strip().lower() == "sale" and (r["amount"] or 0) > 0 and r["location_region"] != "9":
+            key, sale = r["receiving_address"], (r["timestamp"], r["amount"])
+            latest[key] = max(sale, latest.get(key, sale))
+    return latest
+
+
+def test_a_batch_gets_changed_receivers_only(spark, tmp_path, monkeypatch):
+    """Also where a leader falls and a receiver moves up that no batch has touched since."""
+    source, table, checkpoint = (str(tmp_path / n) for n in ("in", "table", "checkpoint"))
+    rng = random.Random(11)
+    names = [f"0x{i:040x}" for i in range(30)]
+    arrivals = [
+        [day(10, 100.0 + i, n) for i, n in enumerate(names)],
+        [day(9, 9000.0, names[3])],  # an older sale changes nothing
+        [day(10, 129.0, names[29])],  # a copy neither
+        [day(12, 1.0, names[29]), day(12, 2.0, names[28])],  # both leaders fall
+        [day(11, 500.0, names[29]), day(13, 700.0, names[5])],
+        *[[day(rng.randrange(25), float(rng.randrange(1, 300)), rng.choice(names)) for _ in range(12)] for _ in range(4)],
+        [day(12, 1.0, names[29])],
+    ]
+    handed = []
+    merge = live.Leaders.merge
+    monkeypatch.setattr(live.Leaders, "merge", lambda self, changed, *rest: handed.append({r[0] for r in changed.collect()}) or merge(self, changed, *rest))
+    seen: list[dict] = []
+    for rows in arrivals:
+        before = latest_by_hand(seen)
+        arrive(spark, source, rows)
+        seen += rows
+        stream = valid_rows(spark.readStream.schema(RAW_SCHEMA).parquet(source))
+        live.start_top_receivers(stream, table, checkpoint, buckets=4, state_partitions=2).awaitTermination()
+        after = latest_by_hand(seen)
+        assert handed.pop() == {k for k in after if after[k] != before.get(k)}
+        best = sorted(((a, n) for n, (_, a) in after.items()), key=lambda x: (-x[0], x[1]))[:3]
+        assert [(r["amount"], r["receiving_address"]) for r in live.read_table(spark, table).orderBy(*receiver_order()).collect()] == best
+        held = {r["receiving_address"]: (int(r["timestamp"].timestamp()), r["amount"]) for r in live.read_latest_sales(spark, table).collect()}
+        assert held == after
+    state = tmp_path / "table" / "state"
+    assert len(list((state / "manifests").glob("*.json"))) == 3
+    assert len(list((state / "runs").iterdir())) < len(arrivals)  # runs merge, old ones go
+
+
+def test_a_repeated_batch_leaves_the_same_table(spark, tmp_path, monkeypatch):
+    """Broken off after the table, before the manifest; then again with all of it done."""
+    source, table, checkpoint = (str(tmp_path / n) for n in ("in", "table", "checkpoint"))
+    publish = live.Leaders.publish
+
+    def run(broken):
+        def fails(self, manifest):
+            if broken == "after":
+                publish(self, manifest)
+            raise RuntimeError("broken off")
+
+        monkeypatch.setattr(live.Leaders, "publish", fails if broken else publish)
+        stream = valid_rows(spark.readStream.schema(RAW_SCHEMA).parquet(source))
+        return live.start_top_receivers(stream, table, checkpoint, k=2, buckets=2, state_partitions=2).awaitTermination()
+
+    rows = [day(1, 10.0 + i, f"0x{i:040x}") for i in range(6)]
+    arrive(spark, source, rows)
+    run(None)
+    for broken, change in (("before", [day(2, 1.0, rows[5]["receiving_address"])]), ("after", [day(2, 2.0, rows[4]["receiving_address"])])):
+        arrive(spark, source, change)
+        rows += change
+        with pytest.raises(Exception, match="broken off"):
+            run(broken)
+        run(None)
+        best = sorted(((a, n) for n, (_, a) in latest_by_hand(rows).items()), key=lambda x: (-x[0], x[1]))[:2]
+        assert [(r["amount"], r["receiving_address"]) for r in live.read_table(spark, table).orderBy(*receiver_order()).collect()] == best
+    # another query's checkpoint does not fit this table
+    with pytest.raises(Exception, match="does not hold batch"):
+        live.Leaders(spark, f"{table}/state", 2, 2).merge(live.read_latest_sales(spark, table), 9, 99)
+
+
+def test_a_fresh_checkpoint_forgets_the_receivers_of_an_older_query(spark, tmp_path):
+    table = str(tmp_path / "table")
+    for name, amount in (("one", 900.0), ("two", 5.0)):
+        arrive(spark, str(tmp_path / name), [day(1, amount, f"0x{name}"), day(1, 3.0, "0xboth")])
+        stream = valid_rows(spark.readStream.schema(RAW_SCHEMA).parquet(str(tmp_path / name)))
+        live.start_top_receivers(stream, table, str(tmp_path / f"c{name}"), buckets=2, state_partitions=2).awaitTermination()
+    assert {r["receiving_address"] for r in live.read_table(spark, table).collect()} == {"0xtwo", "0xboth"}
+    assert {r["receiving_address"] for r in live.read_latest_sales(spark, table).collect()} == {"0xtwo", "0xboth"}
