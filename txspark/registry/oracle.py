@@ -366,4 +366,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_ingest": csv_rows,
         "stream_region_risk": csv_region,
         "stream_top_receivers": receivers,
+        "stream_latest_sales": latest,
+        "stream_distinct_rows": _clean("SELECT * FROM clean"),
+        "stream_distinct_region_risk": csv_region,
     }

@@ -51,7 +51,7 @@ from txspark.sources.lines import (
     stream_transactions,
 )
 from txspark.sources.parts import validate_parts
-from txspark.streaming import live
+from txspark.streaming import distinct, live
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -275,13 +275,43 @@ def stream_ingest(spark: SparkSession, raw_dir: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(f"{base}/raw")
 
 
-def stream_out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean rows of a stream whose arrivals are not in time order: none is lost as late."""
-    base = new_shared_dir(spark, "stream")
+def _out_of_order(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
+    """The raw relation as a stream of several batches, each with rows of all times."""
     events = fixtures.events(spark, sf_dir).repartition(4, F.pmod(F.hash("event_id"), F.lit(4)))
     events.write.parquet(f"{base}/events")
     stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/events")
-    rows = clean(fixtures.transactions(stream))
+    return fixtures.transactions(stream)
+
+
+def stream_distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean rows of such a stream, deduplicated against runs in shared storage."""
+    base = new_shared_dir(spark, "stream")
+    rows = valid_rows(_out_of_order(spark, sf_dir, base))
+    distinct.start_distinct(rows, f"{base}/rows", f"{base}/checkpoint").awaitTermination()
+    return distinct.read_distinct(spark, f"{base}/rows")
+
+
+def stream_distinct_region_risk(spark: SparkSession, raw_dir: str) -> DataFrame:
+    """Parts in limited batches, and the region table from what is new in each."""
+    base = new_shared_dir(spark, "stream")
+    rows = valid_rows(stream_transactions(spark, raw_dir, **_limited(raw_dir)))
+    distinct.start_region_risk(rows, f"{base}/table", f"{base}/checkpoint").awaitTermination()
+    return live.read_table(spark, f"{base}/table").orderBy(*tables.region_order())
+
+
+def stream_latest_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest sale of every receiver, kept current by changes alone."""
+    base = new_shared_dir(spark, "stream")
+    rows = valid_rows(_out_of_order(spark, sf_dir, base))
+    parts = _state_partitions(spark, fixtures.events_bytes(sf_dir))
+    live.start_top_receivers(rows, f"{base}/table", f"{base}/checkpoint", state_partitions=parts).awaitTermination()
+    return live.read_latest_sales(spark, f"{base}/table")
+
+
+def stream_out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean rows of a stream whose arrivals are not in time order: none is lost as late."""
+    base = new_shared_dir(spark, "stream")
+    rows = clean(_out_of_order(spark, sf_dir, base))
     with live.stream_settings(spark, _state_partitions(spark, fixtures.events_bytes(sf_dir))):
         writer = rows.writeStream.option("checkpointLocation", f"{base}/checkpoint")
         writer.trigger(availableNow=True).format("parquet").start(f"{base}/clean").awaitTermination()
@@ -386,6 +416,9 @@ QUERIES: dict[str, Query] = {
     "stream_ingest": _on_parts(stream_ingest),
     "stream_region_risk": _on_parts(stream_region_risk),
     "stream_top_receivers": stream_top_receivers,
+    "stream_latest_sales": stream_latest_sales,
+    "stream_distinct_rows": stream_distinct_rows,
+    "stream_distinct_region_risk": _on_parts(stream_distinct_region_risk),
 }
 
 

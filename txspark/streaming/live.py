@@ -95,10 +95,10 @@ def start_table(
     counts as soon as Spark has marked it complete; a start always takes a higher number than
     all before it, also with a fresh checkpoint. Old versions go.
     """
-    start = _next_start(path)
+    start = next_start(path)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        _write_version(shape(batch), path, start, batch_id)
+        write_version(shape(batch), path, start, batch_id)
 
     with stream_settings(aggregated.sparkSession, state_partitions):
         writer = aggregated.writeStream.outputMode("complete").foreachBatch(store)
@@ -106,12 +106,12 @@ def start_table(
         return started(writer, **trigger)
 
 
-def _next_start(path: str) -> int:
+def next_start(path: str) -> int:
     known = _versions(path, complete=False)
     return int(known[-1].split("-")[1]) + 1 if known else 0
 
 
-def _write_version(table: DataFrame, path: str, start: int, batch: int) -> None:
+def write_version(table: DataFrame, path: str, start: int, batch: int) -> None:
     table.write.mode("overwrite").parquet(f"{path}/version-{start:010d}-{batch:019d}")
     files, base = open_filesystem(path)
     for old in _versions(path)[:-KEPT_VERSIONS]:
@@ -243,11 +243,11 @@ def start_top_receivers(
     """
     spark = cleaned.sparkSession
     state = Leaders(spark, f"{path}/state", k, buckets)
-    start = max(state.store.next_start(), _next_start(path))
+    start = max(state.store.next_start(), next_start(path))
 
     def store(batch: DataFrame, batch_id: int) -> None:
         leaders, manifest = state.merge(batch, batch_id, start)
-        _write_version(leaders, path, start, batch_id)
+        write_version(leaders, path, start, batch_id)
         state.publish(manifest)
 
     with stream_settings(spark, state_partitions):
