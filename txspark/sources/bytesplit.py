@@ -9,10 +9,13 @@ than one block, and nothing passes through the driver but names and sizes.
 Executors pickle this module by value and need no installed package. It therefore
 uses nothing but numpy, pyarrow and pyspark's public data source API.
 
+A part is known by name, size and time of modification, and by samples of its bytes where a
+stored listing has them; one that was replaced is an error, also by bytes of the same number.
+
 Options: `pattern` (part names), `rangeBytes` (size of a Spark partition; by default it
 follows the input size and `cores`), `header` (skip the first line), `withPosition` (add each
 line's byte position), `listing` (fingerprint of the parts that must be there, no more and
-no less), and for streams `flush` (emit a last record that has no line end) and
+no less), `stored` (folder of a stored listing, so that ranges carry no names), and for streams `flush` (emit a last record that has no line end) and
 `maxBytesPerTrigger` (how much one micro-batch takes, at least one line) and `until` (an end
 taken by `end_offset`, beyond which the stream does not go).
 """
@@ -28,6 +31,7 @@ from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyarrow import fs as pafs
 from pyspark.sql.datasource import (
     DataSource,
@@ -52,11 +56,20 @@ MAX_TEXT_BYTES = (1 << 31) - 1
 BOM = b"\xef\xbb\xbf"
 
 
+SAMPLE_BYTES = 4096
+
+
 class Part:
-    """A part file and its place in the virtual file."""
+    """A part file and its place in the virtual file. modified: nanoseconds, 0 if not known;
+    sample: see `sample_of`, empty if none was taken."""
 
-    def __init__(self, name: str, start: int, size: int) -> None:
+    def __init__(self, name: str, start: int, size: int, modified: int = 0, sample: str = "") -> None:
         self.name, self.start, self.size = name, start, size
+        self.modified, self.sample = modified, sample
+
+    @property
+    def fields(self) -> tuple[str, int, int, int, str]:
+        return self.name, self.start, self.size, self.modified, self.sample
 
     @property
     def end(self) -> int:
@@ -78,26 +91,53 @@ def find_parts(path: str, pattern: str = PATTERN) -> list[Part]:
     """The part files directly in `path`, in name order; an error if there are none."""
     files, base = open_filesystem(path)
     found = files.get_file_info(pafs.FileSelector(base, allow_not_found=True))
-    sizes = {
-        f.base_name: f.size
+    known = {
+        f.base_name: f
         for f in found
         if f.type == pafs.FileType.File and fnmatch.fnmatchcase(f.base_name, pattern)
     }
-    if not sizes:
+    if not known:
         raise FileNotFoundError(f"Nothing in {path} is named like {pattern}")
-    names = sorted(sizes)
-    ends = list(accumulate(sizes[n] for n in names))
-    return [Part(n, end - sizes[n], sizes[n]) for n, end in zip(names, ends)]
+    names = sorted(known)
+    ends = accumulate(known[n].size for n in names)
+    return [Part(n, end - known[n].size, known[n].size, known[n].mtime_ns or 0) for n, end in zip(names, ends)]
 
 
 def fingerprint(parts: Sequence[Part]) -> str:
-    """A short text that changes when a part is added, resized or renamed."""
+    """A short text that changes when a part is added, renamed, resized or written anew."""
     digest = hashlib.sha256()
     for p in parts:
-        digest.update(f"{p.name}\t{p.size}\n".encode())
+        digest.update(f"{p.name}\t{p.size}\t{p.modified}\n".encode())
+    return digest.hexdigest()
+
+
+def sample_of(handle: pa.NativeFile, size: int) -> str:
+    """A digest of the first, the middle and the last bytes of a file."""
+    digest = hashlib.sha256()
+    for at in sorted({0, max(size // 2 - SAMPLE_BYTES // 2, 0), max(size - SAMPLE_BYTES, 0)}):
+        digest.update(handle.read_at(min(SAMPLE_BYTES, size - at), at))
     return digest.hexdigest()
 
 
+class StoredParts:
+    """A listing in storage: blocks of parts in order of position, and an index of the blocks'
+    first positions. A task reads the index and the blocks that it needs, whatever their number."""
+
+    def __init__(self, path: str) -> None:
+        self.files, self.base = open_filesystem(path.rstrip("/"))
+        index = pq.read_table(f"{self.base}/index.parquet", filesystem=self.files)
+        self.first = index.column("first").to_numpy()
+        self.blocks = index.column("block").to_pylist()
+        known = {k.decode(): v.decode() for k, v in (index.schema.metadata or {}).items()}
+        self.total, self.count, self.fingerprint = int(known["total"]), int(known["parts"]), known["fingerprint"]
+
+    def at(self, position: int) -> list[Part]:
+        """The block of parts that holds a position."""
+        k = max(int(np.searchsorted(self.first, position, side="right")) - 1, 0)
+        table = pq.read_table(f"{self.base}/{self.blocks[k]}", filesystem=self.files)
+        return [Part(*row) for row in zip(*(c.to_pylist() for c in table.columns), strict=True)]
+
+
 def range_bytes(total: int, cores: int) -> int:
     """Range size: all cores busy on small input, 128 MB on large. A task streams its range;
     set rangeBytes for longer tasks on very large input."""
@@ -106,9 +146,13 @@ def range_bytes(total: int, cores: int) -> int:
 
 
 def plan_ranges(
-    parts: Sequence[Part], start: int, end: int, range_bytes: int
+    parts: Sequence[Part] | None, start: int, end: int, range_bytes: int
 ) -> list[InputPartition]:
-    """Cut [start, end) into ranges. `start` must be the start of a line."""
+    """Cut [start, end) into ranges. `start` must be the start of a line. Without parts the
+    ranges carry no names: tasks look them up in a stored listing."""
+    if parts is None:
+        cuts = [(a, min(a + range_bytes, end)) for a in range(start, end, range_bytes)]
+        return [InputPartition((a, b, end, a == start, None)) for a, b in cuts]
     ranges = []
     first = 0
     for a in range(start, end, range_bytes):
@@ -119,25 +163,32 @@ def plan_ranges(
         last = first
         while last < len(parts) and parts[last].start < min(b + LOOKAHEAD_BYTES, end):
             last += 1
-        held = [(p.name, p.start, p.size) for p in parts[first:last]]
+        held = [p.fields for p in parts[first:last]]
         ranges.append(InputPartition((a, b, end, a == start, held)))
     return ranges
 
 
 class VirtualFile:
-    """Sequential reads of the concatenated parts."""
+    """Sequential reads of the concatenated parts, given or from a stored listing."""
 
-    def __init__(self, path: str, pattern: str, parts: Sequence[Part], end: int) -> None:
+    def __init__(
+        self, path: str, pattern: str, parts: Sequence[Part], end: int, stored: StoredParts | None = None
+    ) -> None:
         self.files, self.base = open_filesystem(path)
         self.path, self.pattern, self.end = path, pattern, end
-        self.parts = list(parts)
-
-    def _list_again(self) -> None:
-        """Exact way out for a line longer than the names a range carries."""
+        self.parts, self.stored = list(parts), stored
+        self.verified: set[str] = set()
+
+    def _find(self, position: int) -> None:
+        """Make `parts` hold a position: from the stored listing or, for a line longer than
+        the names a range carries, from a new one."""
+        if self.stored is not None:
+            self.parts = self.stored.at(position)
+            return
         known = {p.name: p for p in self.parts}
         listed = [p for p in find_parts(self.path, self.pattern) if p.start < self.end]
         same = all(
-            p.start == known[p.name].start and p.size == known[p.name].size
+            (p.start, p.size, p.modified) == (known[p.name].start, known[p.name].size, known[p.name].modified)
             for p in listed
             if p.name in known
         )
@@ -145,19 +196,28 @@ class VirtualFile:
             raise OSError(f"Parts in {self.path} changed while they were read")
         self.parts = listed
 
+    def _verify(self, part: Part, handle: pa.NativeFile) -> None:
+        """An error if a part is not the one that was listed; looked at once by a task."""
+        if part.name in self.verified:
+            return
+        now = self.files.get_file_info(f"{self.base}/{part.name}")
+        same = handle.size() == part.size and part.modified in (0, now.mtime_ns or 0)
+        if not same or part.sample and sample_of(handle, part.size) != part.sample:
+            raise OSError(f"{part.name} has changed since it was listed")
+        self.verified.add(part.name)
+
     def blocks(self, position: int, stop: int, step: int) -> Iterator[bytes]:
         """The bytes in [position, stop), at most `step` at a time."""
         stop = min(stop, self.end)
         while position < stop:
-            if not self.parts or self.parts[-1].end <= position:
-                self._list_again()
+            if not self.parts or self.parts[-1].end <= position or self.parts[0].start > position:
+                self._find(position)
             for part in self.parts:
                 part_stop = min(part.end, stop)
                 if part_stop <= position:
                     continue
                 with self.files.open_input_file(f"{self.base}/{part.name}") as handle:
-                    if handle.size() != part.size:
-                        raise OSError(f"{part.name} has changed since it was listed")
+                    self._verify(part, handle)
                     while position < part_stop:
                         want = min(step, part_stop - position)
                         data = handle.read_at(want, position - part.start)
@@ -308,6 +368,7 @@ class _Options:
         if self.fixed_range < 0:
             raise ValueError("rangeBytes must be positive")
         self.listing = options.get("listing")
+        self.stored = options.get("stored")
         self.most = int(options.get("maxBytesPerTrigger", 0))
         self.until = json.loads(options["until"]) if options.get("until") else None
         self.header = options.get("header", "true").lower() == "true"
@@ -317,10 +378,16 @@ class _Options:
     def parts(self) -> list[Part]:
         return find_parts(self.path, self.pattern)
 
-    def ranges(self, parts: Sequence[Part], start: int, end: int) -> list[InputPartition]:
+    def ranges(self, parts: Sequence[Part] | None, start: int, end: int) -> list[InputPartition]:
         size = self.fixed_range or range_bytes(end - start, self.cores)
         return plan_ranges(parts, start, end, size)
 
+    def file(self, held: Sequence[tuple] | None, end: int) -> VirtualFile:
+        """What a task reads from."""
+        if held is None:
+            return VirtualFile(self.path, self.pattern, [], end, StoredParts(self.stored))
+        return VirtualFile(self.path, self.pattern, [Part(*h) for h in held], end)
+
     def data_start(self, parts: Sequence[Part]) -> int:
         if self.header:
             return read_header(self.path, self.pattern, parts)[1]
@@ -337,7 +404,7 @@ class _RangeReader:
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
         start, end, stream_end, at_line_start, held = partition.value
         opts = self.options
-        source = VirtualFile(opts.path, opts.pattern, [Part(*h) for h in held], stream_end)
+        source = opts.file(held, stream_end)
         for positions, lines in read_range(source, start, end, at_line_start):
             if opts.with_position:
                 columns = {"pos": pa.array(positions, pa.int64()), "value": lines}
@@ -351,7 +418,15 @@ class ByteSplitReader(_RangeReader, DataSourceReader):
         parts = self.options.parts()
         if self.options.listing not in (None, fingerprint(parts)):
             raise OSError(f"Parts in {self.options.path} changed since they were listed")
-        ranges = self.options.ranges(parts, self.options.data_start(parts), parts[-1].end)
+        start = self.options.data_start(parts)
+        if self.options.stored:
+            kept = StoredParts(self.options.stored)
+            if kept.fingerprint != fingerprint(parts):
+                raise OSError(f"Parts in {self.options.path} changed since they were listed")
+            parts = None
+            ranges = self.options.ranges(None, start, kept.total)
+        else:
+            ranges = self.options.ranges(parts, start, parts[-1].end)
         return ranges or [InputPartition((0, 0, 0, True, []))]
 
 
