@@ -16,6 +16,7 @@ from txspark.plans.tables import (
 )
 from txspark.rules import RULES, TransactionRules
 from txspark.session import sized_shuffles
+from txspark.sinks.publish import publish_tables
 from txspark.sinks.tables import export_csv, store_results, write_table
 from txspark.sources.ingest import ingest
 from txspark.sources.parts import discover, require_content
@@ -23,6 +24,18 @@ from txspark.sources.parts import discover, require_content
 # A raw CSV row is about this many times as long as its key and flags in a shuffle.
 KEY_SHARE = 4
 
+# What a run makes visible in one step.
+PUBLISHED = (
+    "ingestion",
+    "cleaning_metrics",
+    "dq_metrics",
+    "null_profile",
+    "anomaly_breakdown",
+    "dq_results",
+    "region_risk",
+    "top_receivers",
+)
+
 
 def run_quality(
     cleaned: DataFrame,
@@ -79,8 +92,11 @@ def run_pipeline(
 
     The raw and the clean table are written once to `work_dir`, and each later step reads
     only the columns it needs from there: lost executors never cause cleaning to be redone.
-    Every run is a full refresh.
+    Every run is a full refresh. Its reports and result tables are also published together in
+    `out_dir`/published, where `sinks.publish.read_published` gives readers the tables of one
+    run, the last one that got through, while the next one is being stored.
     """
+    run_id = run_id or uuid.uuid4().hex
     parts = discover(raw_dir)
     require_content(parts)
     input_bytes = parts[-1].end
@@ -97,4 +113,5 @@ def run_pipeline(
     results = {"ingestion": ingestion, "cleaned": cleaned, "cleaning_metrics": metrics}
     results |= run_quality(cleaned, out_dir, rules, run_id, raise_on_failure)
     results |= build_tables(cleaned, out_dir, k)
+    publish_tables({n: results[n] for n in PUBLISHED}, f"{out_dir}/published", run_id)
     return results
