@@ -10,7 +10,7 @@ from conftest import HEADER, csv_line, raw_row
 from pyspark.sql import functions as F
 
 from txspark.functions.predicates import matches, strict_end
-from txspark.functions.rowkey import row_key
+from txspark.functions.rowkey import row_hashes, row_key
 from txspark.operators.dedupe import count_copies
 from txspark.operators.expectations import run_suite
 from txspark.rules import BETWEEN, NOT_NULL, Rule, TransactionRules, suite_from_json, suite_to_json
@@ -55,6 +55,15 @@ def test_row_keys_tell_rows_apart(spark):
     assert sorted(r["copies"] for r in copies) == [1, 1, 1, 1, 2]
 
 
+def test_row_hashes_tell_rows_apart(spark):
+    rows = [(x, y, z) for x in (None, "", "0", "1", "a") for y in (None, "", "0", "1", "a") for z in (None, 0, 1, 42)]
+    df = spark.createDataFrame(rows, "x string, y string, z long")
+    for h in row_hashes(df.schema):
+        assert df.select(h).distinct().count() == len(rows)
+    one, two = row_hashes(df.schema)
+    assert df.where(one == two).count() == 0
+
+
 def test_a_part_that_changes_is_an_error(spark, parts_dir, tmp_path):
     folder = parts_dir("h\n1\n", "2\n3\n")
     listed = fingerprint(find_parts(folder))

@@ -26,10 +26,8 @@ def strict_integer(expr: str, name: str, kind: str = "BIGINT") -> str:
     """Parse or narrow an integer, raising on anything else, whether or not the session
     casts strictly; NULL stays NULL."""
     problem = f"concat({literal(f'Column {name}: no integer, or overflow: ')}, CAST({expr} AS STRING))"
-    return (
-        f"CASE WHEN {expr} IS NOT NULL AND try_cast({expr} AS {kind}) IS NULL "
-        f"THEN CAST(raise_error({problem}) AS {kind}) ELSE try_cast({expr} AS {kind}) END"
-    )
+    refused = f"CASE WHEN {expr} IS NOT NULL THEN CAST(raise_error({problem}) AS {kind}) END"
+    return f"coalesce(try_cast({expr} AS {kind}), {refused})"
 
 
 def rounded_mean(expr: str, digits: int = 6) -> str:

@@ -1,4 +1,4 @@
-"""A short key for a whole row."""
+"""Short keys for whole rows."""
 
 from __future__ import annotations
 
@@ -26,3 +26,14 @@ def row_key(schema: T.StructType) -> Column:
     """SHA-256 over all fields, 32 bytes: equal rows, NULLs included, have equal keys."""
     fields = [_field(f.name, f.dataType) for f in schema]
     return F.unhex(F.sha2(F.concat(*fields), 256))
+
+
+def row_hashes(schema: T.StructType) -> list[Column]:
+    """Two 64-bit hashes over all fields, from different seeds: 128 bits that equal rows share.
+
+    For counting, where a key need not outlive the query: several times cheaper than `row_key`,
+    as no field turns into text. The hash passes over NULLs, so it also takes where they are.
+    """
+    fields = [F.col(ident(f.name)) for f in schema]
+    nulls = [c.isNull() for c in fields]
+    return [F.xxhash64(*fields, *nulls, F.lit(1)), F.xxhash64(F.lit(2), *nulls, *fields)]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txspark.functions.rowkey import row_key
+from txspark.functions.rowkey import row_hashes, row_key
 
 
 def drop_exact_duplicates(df: DataFrame) -> DataFrame:
@@ -26,12 +26,14 @@ def drop_exact_duplicates(df: DataFrame) -> DataFrame:
 
 
 def count_copies(df: DataFrame, **flags: str) -> DataFrame:
-    """(row_key, copies, flags) of every distinct row, in one shuffle of keys and flags.
+    """(row_hash, row_check, copies, flags) of every distinct row, in one shuffle of 16-byte keys
+    and flags.
 
     flags: SQL conditions on the row, the same for all its copies.
     """
     kept = [F.coalesce(F.expr(e), F.lit(False)).alias(n) for n, e in flags.items()]
-    keyed = df.select(row_key(df.schema).alias("row_key"), *kept)
-    return keyed.groupBy("row_key").agg(
+    one, two = row_hashes(df.schema)
+    keyed = df.select(one.alias("row_hash"), two.alias("row_check"), *kept)
+    return keyed.groupBy("row_hash", "row_check").agg(
         F.count(F.lit(1)).alias("copies"), *[F.max(n).alias(n) for n in flags]
     )
