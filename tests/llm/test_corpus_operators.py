@@ -181,6 +181,39 @@ def test_plan_uses_up_any_histogram():
     assert sum(c for _, c in chosen) <= least * 1.01
 
 
+@pytest.mark.parametrize(("low", "high", "most"), [(20, 300, 1.001), (1, 30, 1.001), (300, 900, 1.02)])
+def test_fitted_patterns_place_short_pieces(low, high, most):
+    lengths = np.random.default_rng(9).integers(low, high, 60_000)
+    histogram = dict(zip(*(a.tolist() for a in np.unique(lengths, return_counts=True)), strict=True))
+    left = dict(histogram)
+    fitted = packing.fitted_patterns(left, 2048)
+    assert sum(left.values()) < 0.1 * len(lengths)
+    assert sum(len(p) * c for p, c in fitted) + sum(left.values()) == len(lengths)
+    assert sum(c for _, c in packing.plan(histogram, 2048)) <= most * (int(lengths.sum()) / 2048) + 1
+
+
+def test_packing_query_equals_brute_force(spark):
+    """All columns of the query but the places, and the places by their law."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    expected = set()
+    for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect():
+        ids = [*tokenizer.encode(r["text"] or "", add_special_tokens=False).ids, 0]
+        extra = -(-len(ids) // 2048) - 1
+        at = [0, *range(len(ids) - 2048 * extra, len(ids), 2048), len(ids)] if extra else [0, len(ids)]
+        for k, (a, b) in enumerate(zip(at, at[1:])):
+            expected.add((r["doc_id"], k, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())))
+    rows = queries.op5_packing(spark, str(SMALL)).collect()
+    assert {tuple(r[c] for c in ("doc_id", "piece", "start", "length", "ids_crc32")) for r in rows} == expected
+    assert len(rows) == len(expected)
+    ends = {}
+    for r in sorted(rows, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == ends.get(r["sequence_id"], 0)
+        ends[r["sequence_id"]] = r["offset"] + r["length"]
+    assert max(ends.values()) <= 2048 and len(ends) <= -(-sum(r["length"] for r in rows) // 2048) + 1
+
+
 def test_packing(spark):
     from tokenizers import Tokenizer
 

@@ -13,7 +13,13 @@ import re
 _UNSAFE = re.compile(r" (?:\s|(?<=\s ))")
 
 
+def cuts_at_spaces(text: str) -> bool:
+    """Whether all spaces of the text stand between characters that are no white space, so that
+    each starts a new match."""
+    return not _UNSAFE.search(text)
+
+
 def space_chunks(text: str) -> list[str] | None:
     """The text cut before each space, the space left out of all chunks but implied from
     the second on; None where some space stands beside other white space."""
-    return None if _UNSAFE.search(text) else text.split(" ")
+    return text.split(" ") if cuts_at_spaces(text) else None

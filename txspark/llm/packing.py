@@ -13,23 +13,34 @@ import math
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txspark.llm.chunks import space_chunks
+from txspark.llm.chunks import cuts_at_spaces
 from txspark.llm.common import fresh, stored
 
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 400_000
+TEXTS_AT_ONCE = 1000
+CHARS_AT_ONCE = 4_000_000
 PIECES_PER_BUCKET = 100_000
 LEAST_BUCKETS = 256
-TRIPLES_PER_LENGTH = 12
-SWEEPS = 25
-ROUNDINGS = (1.0, 0.5, 0.0)
+# Partners over all lengths together, and of one length at least.
+PARTNERS, LEAST_PARTNERS = 4000, 3
+MIXTURES = (0.0, 0.4, 0.8)
+SWEEPS = 10
+# What patterns may waste beyond the best ones, as shares of a sequence, round by round; first
+# those of a document over half a sequence and one other.
+LONG_PIECES = 2
+LONG_WASTES = (0.0, 0.0005, 0.001, 0.002, 0.004)
+WASTES = (0.0, 0.0, 0.001, 0.004)
 
 
 _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,]?)").fullmatch
@@ -43,65 +54,116 @@ def _byte_spelling() -> dict[int, int]:
     return {b: 256 + i for i, b in enumerate(hidden)}
 
 
-class _Words(dict):
-    """Packed ids by word of the tokenizer's pre-tokenizer."""
+class _Cache(dict):
+    """Packed ids by text, in two generations: what is looked up stays, the rest goes once the
+    younger one is full, so that the cache follows the texts and its size is bounded."""
 
-    def __init__(self, model):
+    def __init__(self, make: Callable[[str], bytes], entries: int):
         super().__init__()
-        self.tokenize = model.tokenize
-
-    def __missing__(self, word: str) -> bytes:
-        ids = [t.id for t in self.tokenize(word)]
-        packed = struct.pack(f"<{len(ids)}I", *ids)
-        if len(self) < CACHE_ENTRIES:
-            self[word] = packed
+        self.make, self.half, self.older = make, max(entries // 2, 1), {}
+
+    def __missing__(self, text: str) -> bytes:
+        packed = self.older.get(text)
+        if packed is None:
+            packed = self.make(text)
+        if len(self) >= self.half:
+            self.older = dict(self)
+            self.clear()
+        self[text] = packed
         return packed
 
 
-class _Tokens(dict):
+class _Tokens:
     """Packed ids of texts, by the parts of a tokenizer of the `tokenizers` library: its
-    pre-tokenizer and its model, without special tokens. As a dictionary it holds chunks,
-    their leading space implied. With `added`, texts that hold an added token of the tokenizer
-    literally go through the whole tokenizer, which gives that token's own id."""
+    pre-tokenizer and its model, without special tokens.
+
+    Texts fall into chunks at their spaces. Of many texts at once the distinct chunks are looked
+    up, each once, and their ids gathered for all places. With `added`, texts that hold an
+    added token of the tokenizer literally go through the whole tokenizer, which gives that
+    token's own id; else it is plain text.
+    """
 
     def __init__(self, path: str, added: bool = False):
         from tokenizers import Tokenizer
 
-        super().__init__()
-        tokenizer = Tokenizer.from_file(path)
-        self.words = _Words(tokenizer.model)
-        self.split = tokenizer.pre_tokenizer.pre_tokenize_str
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model.tokenize
+        self.split = self.tokenizer.pre_tokenizer.pre_tokenize_str
         self.spelling = _byte_spelling()
-        self.space = chr(self.spelling[32])
-        self.tokenizer = tokenizer
-        self.added = [t.content for t in tokenizer.get_added_tokens_decoder().values()] if added else []
+        self.space, self.line_end = chr(self.spelling[32]), chr(self.spelling[10])
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
+        self.words = _Cache(self._word, CACHE_ENTRIES)
+        self.chunks = _Cache(self._chunk, CACHE_ENTRIES)
+
+    def _word(self, word: str) -> bytes:
+        """Of a pre-tokenizer's word, spelled its way."""
+        ids = [t.id for t in self.model(word)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _ids(self, text: str) -> bytes:
         return b"".join([self.words[word] for word, _ in self.split(text)])
 
-    def __missing__(self, chunk: str) -> bytes:
-        # Latin words, alone or before one mark, need no pre-tokenizer
-        if plain := _PLAIN(chunk):
-            word, mark = plain[1], plain[2]
-            if not word.isascii():
-                word = word.encode().decode("latin-1").translate(self.spelling)
-            packed = self.words[self.space + word]
+    def _chunk(self, chunk: str) -> bytes:
+        """Of a chunk behind a space. Latin words, alone or before one mark, and lines of such
+        words need no pre-tokenizer: it cuts before the mark and around each line end."""
+        if found := _PLAIN(chunk):
+            word, mark = found.groups()
             if mark:
-                packed += self.words[mark]
-        else:
-            packed = self._ids(" " + chunk)
-        if len(self) < CACHE_ENTRIES:
-            self[chunk] = packed
-        return packed
-
-    def encode(self, text: str) -> bytes:
+                return self.chunks[word] + self.words[mark]
+            return self._word(self.space + self._spelled(word))
+        lines = list(map(_PLAIN, chunk.split("\n")))
+        if not all(lines):
+            return self._ids(" " + chunk)
+        packed = [self.chunks[lines[0][0]]]
+        for found in lines[1:]:
+            packed += [self.words[self.line_end], self.words[self._spelled(found[1])]]
+            if found[2]:
+                packed.append(self.words[found[2]])
+        return b"".join(packed)
+
+    def _spelled(self, word: str) -> str:
+        return word if word.isascii() else word.encode().decode("latin-1").translate(self.spelling)
+
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        """Packed ids of each text, in order."""
+        held: list[str] = []
+        size = 0
+        for text in texts:
+            if held and (size + len(text) > CHARS_AT_ONCE or len(held) >= TEXTS_AT_ONCE):
+                yield from self._together(held)
+                held, size = [], 0
+            held.append(text)
+            size += len(text)
+        yield from self._together(held)
+
+    def _alone(self, text: str) -> bytes | None:
+        """Of texts that do not fall into chunks."""
         if any(token in text for token in self.added):
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
             return struct.pack(f"<{len(ids)}I", *ids)
-        chunks = space_chunks(text)
-        if chunks is None:
-            return self._ids(text)
-        return self._ids(chunks[0]) + b"".join(map(self.__getitem__, chunks[1:]))
+        return None if cuts_at_spaces(text) else self._ids(text)
+
+    def _together(self, texts: list[str]) -> list[bytes]:
+        out = [self._alone(t) for t in texts]
+        rest = [k for k, packed in enumerate(out) if packed is None]
+        if not rest:
+            return out
+        lists = pc.split_pattern(pa.array([texts[k] for k in rest], pa.large_string()), " ")
+        found = lists.values.dictionary_encode()
+        which, first = found.indices.to_numpy().astype(np.int64), lists.offsets.to_numpy()
+        known = list(map(self.chunks.__getitem__, found.dictionary.to_pylist()))
+        # the first chunk of a text has no space before it
+        which[first[:-1]] = len(known) + np.arange(len(rest))
+        known += [self._ids(c) for c in lists.values.take(pa.array(first[:-1])).to_pylist()]
+        table = np.frombuffer(b"".join(known), "<u4")
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        starts = np.cumsum(sizes) - sizes
+        many = sizes[which]
+        ends = np.concatenate([[0], np.cumsum(many)])
+        ids = table[np.repeat(starts[which] - ends[:-1], many) + np.arange(ends[-1])]
+        for k, a, b in zip(rest, ends[first[:-1]].tolist(), ends[first[1:]].tolist(), strict=True):
+            out[k] = ids[a:b].tobytes()
+        return out
 
 
 @lru_cache(maxsize=1)
@@ -141,46 +203,63 @@ def token_pieces(
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tokens = _tokens(tokenizer_path, added)
         for batch in batches:
-            yield pd.Series([cut(tokens.encode(t), capacity, end_id, with_ids) for t in batch], dtype=object)
+            packed = tokens.encode(batch.tolist())
+            yield pd.Series([cut(ids, capacity, end_id, with_ids) for ids in packed], dtype=object)
 
     return run(F.coalesce(text, F.lit("")))
 
 
 def enumerate_patterns(lengths: list[int], capacity: int) -> list[tuple[int, ...]]:
-    """Patterns of one to three documents that fill a sequence as far as the lengths allow:
-    for each length its best partner, and a bounded number of pairs of partners."""
-    have = np.array(sorted(lengths))
+    """Patterns that fill a sequence as far as the lengths allow.
 
-    def fit(space: int) -> int:
-        at = int(np.searchsorted(have, space, side="right")) - 1
-        return int(have[at]) if at >= 0 else 0
-
-    patterns: set[tuple[int, ...]] = {(x,) for x in lengths}
-    for x in lengths:
-        if partner := fit(capacity - x):
-            patterns.add(tuple(sorted((x, partner), reverse=True)))
-        room = have[have < capacity - x]
-        picks = room[np.unique(np.linspace(0, len(room) - 1, TRIPLES_PER_LENGTH).astype(int))] if len(room) else []
-        for y in map(int, picks):
-            if third := fit(capacity - x - y):
-                patterns.add(tuple(sorted((x, y, third), reverse=True)))
+    Every length meets a bounded number of partners, spread over all lengths, in several
+    mixtures of the two; then always the largest length that still fits closes the rest. Few
+    documents make a pattern where they are long, more where they are short.
+    """
+    have = np.array(sorted(lengths))
+    least = int(have[0]) if len(have) else 0
+    partners = max(LEAST_PARTNERS, PARTNERS // max(len(have), 1))
+
+    def closed(start: list[int]) -> tuple[int, ...]:
+        space = capacity - sum(start)
+        while space >= least:
+            x = int(have[int(np.searchsorted(have, space, side="right")) - 1])
+            start = start + [x] * (space // x)
+            space %= x
+        return tuple(sorted(start, reverse=True))
+
+    patterns: set[tuple[int, ...]] = set()
+    for k, x in enumerate(map(int, have)):
+        patterns.add(closed([x]))
+        room = have[have <= capacity - x]
+        if not len(room):
+            continue
+        # other partners for each length, so that together they cover all
+        spots = (np.linspace(0, len(room), partners, endpoint=False) + k) % len(room)
+        for y in map(int, np.unique(room[spots.astype(int)])):
+            for share in MIXTURES:
+                many = max(int(capacity * share) // x, 1)
+                rest = (capacity - many * x) // y
+                patterns.add(closed([x] * many + [y] * rest))
+                if rest > 1:
+                    patterns.add(closed([x] * many + [y] * (rest - 1)))
     return sorted(patterns, reverse=True)
 
 
-def fit_counts(histogram: dict[int, int], patterns: list[tuple[int, ...]], capacity: int) -> np.ndarray:
+def fit_counts(histogram: dict[int, int], patterns: list[tuple[int, ...]]) -> np.ndarray:
     """Repeat counts by non-negative least squares, solved by coordinate descent.
 
     Minimises the squared difference between the histogram and what the patterns use.
-    Patterns are visited from the fullest, so that fuller ones win among equals.
+    Patterns are visited from the fullest and those with the longest document, so that they win
+    among equals: long documents have the fewest partners.
     """
-    left = dict.fromkeys(histogram, 0.0) | {k: float(v) for k, v in histogram.items()}
+    left = {k: float(v) for k, v in histogram.items()}
     counts = np.zeros(len(patterns))
     uses = []
     for pattern in patterns:
-        times = {x: pattern.count(x) for x in pattern}
+        times = Counter(pattern)
         uses.append((list(times.items()), float(sum(m * m for m in times.values()))))
-    order = sorted(range(len(patterns)), key=lambda i: (-sum(patterns[i]), len(patterns[i])))
-    order = [i for i in order if sum(patterns[i]) >= 0.98 * capacity]
+    order = sorted(range(len(patterns)), key=lambda i: (-sum(patterns[i]), -patterns[i][0], len(patterns[i])))
     for _ in range(SWEEPS):
         moved = 0.0
         for i in order:
@@ -199,42 +278,54 @@ def fit_counts(histogram: dict[int, int], patterns: list[tuple[int, ...]], capac
 def plan(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
     """Patterns with repeat counts that use up the histogram exactly.
 
-    The fitted counts are rounded by several measures, from the nearest whole number down to
-    leaving all to the residual packing; the plan with the fewest sequences wins.
+    Counts are fitted to what is left and rounded, round by round; only what rounding leaves
+    is packed greedily.
     """
-    patterns = enumerate_patterns([x for x in histogram if x < capacity], capacity)
-    inner = {x: n for x, n in histogram.items() if x < capacity}
-    fitted = fit_counts(inner, patterns, capacity) if patterns else np.zeros(0)
-    plans = [_rounded(histogram, capacity, patterns, fitted * share) for share in ROUNDINGS]
-    return min(plans, key=lambda chosen: sum(count for _, count in chosen))
-
-
-def _rounded(histogram: dict[int, int], capacity: int, patterns, fitted: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
     left = {k: int(v) for k, v in histogram.items() if v}
     chosen: list[tuple[tuple[int, ...], int]] = []
-
-    def take(pattern: tuple[int, ...], count: int) -> None:
-        for x in pattern:
-            left[x] -= count
-            if left[x] == 0:
-                del left[x]
-        chosen.append((pattern, count))
-
-    if full := left.get(capacity):
-        take((capacity,), full)
-    for i in np.argsort(-fitted, kind="stable"):
-        pattern, count = patterns[i], math.floor(fitted[i] + 0.5)
-        if count <= 0:
-            break
-        room = min(left.get(x, 0) // pattern.count(x) for x in pattern)
-        if (count := min(count, room)) > 0:
-            take(pattern, count)
+    if full := left.pop(capacity, 0):
+        chosen.append(((capacity,), full))
+    chosen += fitted_patterns(left, capacity)
     while left:
         pattern, repeat = _greedy_pattern(left, capacity)
-        take(pattern, repeat)
+        _take(left, pattern, repeat)
+        chosen.append((pattern, repeat))
     return chosen
 
 
+def fitted_patterns(left: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """Fitted and rounded patterns; takes their documents out of `left`. Each round fits what the
+    rounds before have left, with the patterns that waste next to nothing more than the best."""
+    chosen: list[tuple[tuple[int, ...], int]] = []
+    for long, share in [*((True, w) for w in LONG_WASTES), *((False, w) for w in WASTES)]:
+        if not left:
+            break
+        patterns = enumerate_patterns(list(left), capacity)
+        if long:
+            patterns = [p for p in patterns if 2 * p[0] > capacity and len(p) <= LONG_PIECES]
+            if not patterns:
+                continue
+        most = capacity - sum(max(patterns, key=sum)) + share * capacity
+        patterns = [p for p in patterns if capacity - sum(p) <= most]
+        fitted = fit_counts(left, patterns)
+        for i in np.argsort(-fitted, kind="stable"):
+            count = math.floor(fitted[i] + 0.5)
+            if count <= 0:
+                break
+            count = min(count, *(left.get(x, 0) // m for x, m in Counter(patterns[i]).items()))
+            if count > 0:
+                _take(left, patterns[i], count)
+                chosen.append((patterns[i], count))
+    return chosen
+
+
+def _take(left: dict[int, int], pattern: tuple[int, ...], count: int) -> None:
+    for x, m in Counter(pattern).items():
+        left[x] -= m * count
+        if left[x] == 0:
+            del left[x]
+
+
 def _greedy_pattern(left: dict[int, int], capacity: int) -> tuple[tuple[int, ...], int]:
     """The largest length left, then always the largest that still fits, and how often."""
     have = sorted(left)
