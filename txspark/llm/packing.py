@@ -279,13 +279,19 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...]
     """Patterns with repeat counts that use up the histogram exactly.
 
     Counts are fitted to what is left and rounded, round by round; only what rounding leaves
-    is packed greedily.
+    is packed greedily. Counts are rounded to the nearest whole number or, where that comes
+    out with fewer sequences, down: with few documents of a length most counts are near one.
     """
+    plans = [_rounded(histogram, capacity, up) for up in (0.5, 0.0)]
+    return min(plans, key=lambda chosen: sum(count for _, count in chosen))
+
+
+def _rounded(histogram: dict[int, int], capacity: int, up: float) -> list[tuple[tuple[int, ...], int]]:
     left = {k: int(v) for k, v in histogram.items() if v}
     chosen: list[tuple[tuple[int, ...], int]] = []
     if full := left.pop(capacity, 0):
         chosen.append(((capacity,), full))
-    chosen += fitted_patterns(left, capacity)
+    chosen += fitted_patterns(left, capacity, up)
     while left:
         pattern, repeat = _greedy_pattern(left, capacity)
         _take(left, pattern, repeat)
@@ -293,7 +299,7 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...]
     return chosen
 
 
-def fitted_patterns(left: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
+def fitted_patterns(left: dict[int, int], capacity: int, up: float = 0.5) -> list[tuple[tuple[int, ...], int]]:
     """Fitted and rounded patterns; takes their documents out of `left`. Each round fits what the
     rounds before have left, with the patterns that waste next to nothing more than the best."""
     chosen: list[tuple[tuple[int, ...], int]] = []
@@ -309,7 +315,7 @@ def fitted_patterns(left: dict[int, int], capacity: int) -> list[tuple[tuple[int
         patterns = [p for p in patterns if capacity - sum(p) <= most]
         fitted = fit_counts(left, patterns)
         for i in np.argsort(-fitted, kind="stable"):
-            count = math.floor(fitted[i] + 0.5)
+            count = math.floor(fitted[i] + up)
             if count <= 0:
                 break
             count = min(count, *(left.get(x, 0) // m for x, m in Counter(patterns[i]).items()))
