@@ -141,6 +141,28 @@ def test_vector_join_equals_brute_force(spark):
     assert cover_tree.near_duplicates(df.where("false")).count() == 0
 
 
+def test_vectors_of_every_length_are_compared(spark):
+    """Each length by itself, by brute force and by the query's SQL."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for size, n in ((16, 60), (3, 60), (2, 5), (1, 3)):
+        x = clustered(size, n, size) if size > 3 else rng.normal(size=(n, size))
+        rows += [(len(rows) + i, v.tolist()) for i, v in enumerate(x)]
+    rows += [(900, [1.0, 0.01, 0.0]), (901, [1.0, 0.01]), (902, None), (903, []), (904, [0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(2)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in cover_tree.near_duplicates(df).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding DOUBLE[])")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?)", rows)
+    columns = "vec_id, n_links, component_id, kept"
+    told = {r[0]: r[1:] for r in con.execute(f"SELECT {columns} FROM ({oracle.COVER_TREE_DEDUP})").fetchall()}
+    assert got == told
+    unit = {i: np.array(v) / np.linalg.norm(v) for i, v in rows if v and np.linalg.norm(v)}
+    for i, v in unit.items():
+        assert got[i][0] == sum(len(u) == len(v) and u @ v >= 0.9 for j, u in unit.items() if j != i)
+    assert any(n for i, (n, _, _) in got.items() if 120 <= i < 125)  # vectors of the rarer length 2
+
+
 def test_sharding(spark):
     rng = random.Random(6)
     texts = ["copy " * 9] * 400 + ["w " * rng.randrange(1, 400) + str(i) for i in range(700)] + [None, "", "x" * 3000, "é漢"]

@@ -17,6 +17,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -234,9 +235,9 @@ def _links_of_pairs(group: pd.DataFrame, threshold: float) -> pd.DataFrame:
 def near_duplicates(vectors: DataFrame, threshold: float = 0.9, key: str = "vec_id", column: str = "embedding", shape: Shape = Shape()) -> DataFrame:
     """vec_id, n_links, component_id and kept for every row.
 
-    Vectors that are null, empty or zero, that hold null or non-finite components, or whose
-    length differs from the commonest one, link with nothing. Rows that repeat an id are
-    vectors of their own. Other columns are left out.
+    Vectors that are null, empty or zero, or that hold null or non-finite components, link with
+    nothing; vectors of different lengths have no cosine, so each length is compared by itself.
+    Rows that repeat an id are vectors of their own. Other columns are left out.
     """
     rows = vectors.select(F.col(key).alias("id"), F.col(column).cast("array<double>").alias("v"))
     sound = (
@@ -244,19 +245,19 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, key: str = "vec_
         & F.exists("v", lambda x: x != 0)
     )
     rows = rows.withColumn("sound", F.coalesce(sound, F.lit(False)))
-    lengths = rows.where("sound").groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    usual = lengths["n"] if lengths else 0
-    fine = rows.where("sound").where(F.size("v") == usual)
+    fine = rows.where("sound")
     nodes = stored(
         fine.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("weight")).withColumn("node", F.monotonically_increasing_id()),
         "nodes",
     )
-    found = _linked(nodes, threshold, shape)
+    # one row for each length that occurs
+    lengths = [r[0] for r in nodes.select(F.size("v")).distinct().orderBy(F.size("v")).collect()] or [0]
+    found = reduce(DataFrame.union, [_linked(nodes.where(F.size("v") == n), threshold, shape) for n in lengths])
     labelled = nodes.join(found, "node")
     least = labelled.groupBy("root").agg(F.min("id").alias("component_id"))
     answers = labelled.join(least, "root").select("v", F.col("n_links"), "component_id")
     linked = fine.join(answers, "v").select("id", "n_links", "component_id")
-    alone = rows.where(~F.col("sound") | (F.size("v") != usual)).select(
+    alone = rows.where(~F.col("sound")).select(
         "id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id")
     )
     return linked.union(alone).select(

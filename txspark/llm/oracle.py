@@ -46,7 +46,7 @@ WITH RECURSIVE vectors AS (
 ),
 both_ways AS (
   SELECT x.vec_id AS a, y.vec_id AS b FROM vectors x, vectors y
-  WHERE x.vec_id <> y.vec_id AND list_cosine_similarity(x.v, y.v) >= 0.9
+  WHERE x.vec_id <> y.vec_id AND CASE WHEN len(x.v) = len(y.v) THEN list_cosine_similarity(x.v, y.v) >= 0.9 ELSE false END
 ),
 nodes AS (SELECT vec_id AS id FROM embeddings),
 {_REACH},
