@@ -16,7 +16,7 @@ from txspark.fixtures import (
     record_text,
 )
 from txspark.functions.text import NULL_TOKENS
-from txspark.registry.queries import MOSTLY_SUITE, RUN_ID, RUN_TIME
+from txspark.registry.queries import EXAMPLES, MIXED, MOSTLY_SUITE, RUN_ID, RUN_TIME
 from txspark.schema import COLUMNS
 
 _COLS = ", ".join(COLUMNS)
@@ -199,6 +199,18 @@ def _suite(table: str, suite: list[R.Rule]) -> str:
     return " UNION ALL ".join(rows)
 
 
+def _examples(table: str, suite: list[R.Rule], k: int) -> str:
+    """The most frequent breaking values of each set and pattern rule."""
+    rows = [
+        f"SELECT * FROM (SELECT CAST({i + 1} AS INTEGER) AS position, '{rule.type}' AS rule, '{rule.column}' AS \"column\", "
+        f"{rule.column} AS value, count(*) AS unexpected_count, true AS certain FROM {table} "
+        f"WHERE {_broken(rule)} GROUP BY {rule.column} ORDER BY count(*) DESC, {rule.column} LIMIT {k})"
+        for i, rule in enumerate(suite)
+        if rule.type in (R.IN_SET, R.REGEX)
+    ]
+    return " UNION ALL ".join(rows)
+
+
 def _expect(rule_type: str) -> str:
     return _normal(_suite("normal", [r for r in CONTRACT_SUITE if r.type == rule_type]))
 
@@ -362,6 +374,15 @@ def oracle_sql() -> dict[str, str]:
             f"FROM ({results})"
         ),
         "suite_mostly": _normal(_suite("normal", R.suite_from_json(MOSTLY_SUITE))),
+        "profile_slots_results": _clean(results),
+        "profile_slots_metrics": _clean(_dq_metrics("clean")),
+        "unexpected_values": _normal(_examples("normal", suite, EXAMPLES)),
+        "unexpected_values_small_sketch": _normal(
+            "SELECT CAST(1 AS INTEGER) AS position, '" + R.IN_SET + "' AS rule, 'mixed' AS \"column\", value, "
+            f"count(*) AS unexpected_count, true AS certain FROM (SELECT {MIXED} AS value FROM normal) "
+            "WHERE value <> 'none' GROUP BY value ORDER BY count(*) DESC, value LIMIT 3"
+        ),
+        "stream_quality_results": _clean(results),
         "stream_out_of_order": _clean("SELECT * FROM clean"),
         "stream_ingest": csv_rows,
         "stream_region_risk": csv_region,

@@ -26,9 +26,11 @@ from txspark.operators.dedupe import drop_exact_duplicates
 from txspark.operators.expectations import run_suite
 from txspark.operators.normalise import NARROWED, TRIMMED, clean_column, normalise
 from txspark.operators.profile import frequency, null_profile, row_count
+from txspark.operators.unexpected import unexpected_values
 from txspark.plans import quality, tables
 from txspark.plans.clean import clean, cleaning_metrics, valid_rows
 from txspark.plans.pipeline import build_tables, run_pipeline
+from txspark.plans.profiles import ProfileStore, start_quality
 from txspark.rules import (
     BETWEEN,
     IN_SET,
@@ -42,6 +44,7 @@ from txspark.rules import (
 )
 from txspark.schema import COLUMNS, missing_columns
 from txspark.session import configure, new_shared_dir, shuffle_partitions
+from txspark.sinks.publish import read_published
 from txspark.sinks.tables import export_csv, preview, store_results, write_table
 from txspark.sources.bytesplit import find_parts, read_header, split_header
 from txspark.sources.ingest import ingest
@@ -255,6 +258,54 @@ MOSTLY_SUITE = suite_to_json(
 )
 
 
+# -- profiles that add up ---------------------------------------------------------------
+
+
+def _profiles_of_slots(cleaned: DataFrame) -> ProfileStore:
+    """A store with a profile for each of four slots, one of them put twice."""
+    spark = cleaned.sparkSession
+    store = ProfileStore(spark, new_shared_dir(spark, "profiles"), BOUNDED)
+    for slot in (0, 1, 2, 3, 1):
+        store.put(f"slot-{slot}", cleaned.where(F.pmod(F.hash("sending_address", "timestamp"), F.lit(4)) == slot))
+    store.fold(["slot-0", "slot-2"], "slot-2")
+    return store
+
+
+def profile_slots_results(cleaned: DataFrame) -> DataFrame:
+    return _profiles_of_slots(cleaned).report().results()
+
+
+def profile_slots_metrics(cleaned: DataFrame) -> DataFrame:
+    return _profiles_of_slots(cleaned).report().metrics()
+
+
+EXAMPLES = 4
+
+
+def unexpected(rows: DataFrame) -> DataFrame:
+    """The most frequent breaking values of each set and pattern rule, with one scan of the rows."""
+    return unexpected_values(rows, BOUNDED.suite(), EXAMPLES).where(F.col("rule").isin(IN_SET, REGEX))
+
+
+# A few frequent values among hundreds of rare ones.
+MIXED = "CASE WHEN login_frequency < 3 THEN transaction_type ELSE ip_prefix END"
+
+
+def unexpected_small_sketch(rows: DataFrame) -> DataFrame:
+    """The same by a sketch that is too small for all breaking values."""
+    suite = [Rule(IN_SET, {"column": "mixed", "value_set": ["none"]})]
+    return unexpected_values(rows.selectExpr(f"{MIXED} AS mixed"), suite, 3, tracked=200)
+
+
+def stream_quality_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The suite's outcome after the last batch of a stream whose rows arrive in any order."""
+    base = new_shared_dir(spark, "stream")
+    rows = valid_rows(_out_of_order(spark, sf_dir, base))
+    query = start_quality(rows, f"{base}/rows", f"{base}/checkpoint", BOUNDED, raise_on_failure=False)
+    query.awaitTermination()
+    return read_published(spark, f"{base}/rows/report", "dq_results")
+
+
 # -- streams ---------------------------------------------------------------------------
 
 
@@ -412,6 +463,12 @@ QUERIES: dict[str, Query] = {
     "pipeline_top_receivers": pipeline_table("top_receivers"),
     "pipeline_cleaning_metrics": pipeline_table("cleaning_metrics"),
     "pipeline_dq_results": pipeline_table("dq_results"),
+    # profiles that add up
+    "profile_slots_results": _on_clean(profile_slots_results),
+    "profile_slots_metrics": _on_clean(profile_slots_metrics),
+    "unexpected_values": _on_normal(unexpected),
+    "unexpected_values_small_sketch": _on_normal(unexpected_small_sketch),
+    "stream_quality_results": stream_quality_results,
     # streams
     "stream_ingest": _on_parts(stream_ingest),
     "stream_region_risk": _on_parts(stream_region_risk),
