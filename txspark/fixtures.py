@@ -85,6 +85,33 @@ def record_text(column: str) -> str:
 # One CSV record. No field holds a comma, a quote or a line break.
 RECORD = " || ',' || ".join(record_text(c) for c in COLUMNS)
 
+# The same relation as another exporter might write it: columns in another order and one more
+# among them, fields in quotes that hold commas and quotes, NaN (in a spelling that is no null
+# token), and no-break padding.
+ODD_NAN = "event_id % 131 = 0"
+ODD_PADDED = "event_id % 7 = 0"
+ODD_NOTE = """'said "no, ' || CAST(event_id AS STRING) || '"'"""
+
+
+def odd_text(column: str) -> str:
+    if column == "note":
+        return f"""'"' || replace({ODD_NOTE}, '"', '""') || '"'"""
+    text = record_text(column)
+    if column == "risk_score":
+        return f"CASE WHEN {ODD_NAN} THEN 'NAN' ELSE {text} END"
+    if column in ("location_region", "age_group"):
+        padded = f"CASE WHEN {ODD_PADDED} AND {text} <> '' THEN '\u00a0' || {text} || '\u2003' ELSE {text} END"
+        return f"""CASE WHEN event_id % 2 = 0 THEN '"' || {padded} || '"' ELSE {padded} END"""
+    return text
+
+
+_BACKWARDS = COLUMNS[::-1]
+ODD_FORM = {c: odd_text(c) for c in [*_BACKWARDS[:5], "note", *_BACKWARDS[5:]]}
+
+# A header that breaks the column contract.
+LACKING = ("risk_score", "anomaly")
+LACKING_FORM = {c: e for c, e in ODD_FORM.items() if c not in LACKING}
+
 # Parts hold this many events.
 EVENTS_PER_PART = 997
 
@@ -128,15 +155,15 @@ def number_texts(events_df: DataFrame, columns: list[str]) -> DataFrame:
     return _with_copies(events_df).selectExpr(*[f"{record_text(c)} AS {c}" for c in columns])
 
 
-def csv_records(events_df: DataFrame, width: int) -> DataFrame:
+def csv_records(events_df: DataFrame, width: int, record: str = RECORD) -> DataFrame:
     """The raw relation as CSV records, with their place in the file sequence."""
     part = f"event_id DIV {width}"
     return _with_copies(events_df).selectExpr(
-        "event_id", "copy", f"{part} AS part", f"{RECORD} AS record"
+        "event_id", "copy", f"{part} AS part", f"{record} AS record"
     )
 
 
-def _byte_pieces(events_df: DataFrame) -> DataFrame:
+def _byte_pieces(events_df: DataFrame, record: str) -> DataFrame:
     """Records cut so that every part file but the last ends inside a record."""
     width = EVENTS_PER_PART
     ends_part = f"event_id % {width} = {width - 1} AND copy = last_copy"
@@ -146,19 +173,22 @@ def _byte_pieces(events_df: DataFrame) -> DataFrame:
         struct(part, substr({line}, 1, {cut}) AS piece),
         struct(part + 1 AS part, substr({line}, {cut} + 1) AS piece))
       ELSE array(struct(part, {line} AS piece)) END)"""
-    rows = csv_records(events_df, width).selectExpr(
+    rows = csv_records(events_df, width, record).selectExpr(
         "*", f"CASE WHEN {DUPLICATED} THEN 2 ELSE 1 END AS last_copy"
     )
     return rows.selectExpr("event_id", "copy", pieces)
 
 
-def write_byte_split(events_df: DataFrame, path: str) -> DataFrame:
+def write_byte_split(events_df: DataFrame, path: str, form: dict[str, str] | None = None) -> DataFrame:
     """Write the CSV form to `path` as part files cut inside records.
 
+    form: the text of each field by column, in file order, where it is not the plain one.
+
     A part is written by the one task that owns its range and renamed into place, so a
     task that runs twice leaves the same file. Returns (file, size_bytes), evaluated once.
     """
-    header = ",".join(COLUMNS) + "\n"
+    header = ",".join(form or COLUMNS) + "\n"
+    record = " || ',' || ".join(form.values()) if form else RECORD
     # so that executors need no installed package
     cloudpickle.register_pickle_by_value(sys.modules[open_filesystem.__module__])
 
@@ -208,7 +238,7 @@ def write_byte_split(events_df: DataFrame, path: str) -> DataFrame:
         )
 
     pieces = (
-        _byte_pieces(events_df)
+        _byte_pieces(events_df, record)
         .repartitionByRange("part")
         .sortWithinPartitions("part", "event_id", "copy")
         .select("part", "piece")

@@ -12,6 +12,11 @@ from txspark.fixtures import (
     DUPLICATED,
     EVENTS_PER_PART,
     RAW_EXPRESSIONS,
+    LACKING,
+    ODD_FORM,
+    ODD_NAN,
+    ODD_NOTE,
+    ODD_PADDED,
     RECORD,
     record_text,
 )
@@ -52,6 +57,25 @@ def _from_csv(column: str, string_nulls: bool = False) -> str:
 CSV = f"raw AS ({_copies(', '.join(_from_csv(c) for c in COLUMNS))})"
 CSV_NULLS = f"raw AS ({_copies(', '.join(_from_csv(c, True) for c in COLUMNS))})"
 
+
+
+def _from_odd(column: str, padded: bool) -> str:
+    """What the odd exporter's file makes of a column; cleaning takes the padding away."""
+    if column == "note":
+        return f"{ODD_NOTE} AS note"
+    plain = _from_csv(column)
+    expr = plain[: -len(f" AS {column}")]
+    if column == "risk_score":
+        return f"CASE WHEN {ODD_NAN} THEN 'NaN'::DOUBLE ELSE {expr} END AS {column}"
+    if padded and column in ("location_region", "age_group"):
+        return f"CASE WHEN {ODD_PADDED} AND {expr} <> '' THEN '\u00a0' || {expr} || '\u2003' ELSE {expr} END AS {column}"
+    return plain
+
+
+ODD_RAW = f"raw AS ({_copies(', '.join(_from_odd(c, True) for c in ODD_FORM))})"
+ODD_TRIMMED = f"raw AS ({_copies(', '.join(_from_odd(c, False) for c in COLUMNS))})"
+_NAN_APART = "SELECT * REPLACE (CASE WHEN isnan(risk_score) THEN NULL ELSE risk_score END AS risk_score), coalesce(isnan(risk_score), false) AS risk_is_nan FROM "
+
 # Fixed forms of the data contract, one column a line.
 NORMAL = """normal AS (SELECT
   make_timestamp(timestamp * 1000000) AS timestamp,
@@ -360,6 +384,12 @@ def oracle_sql() -> dict[str, str]:
         "pipeline_top_receivers": csv_receivers,
         "pipeline_cleaning_metrics": _clean(METRICS, CSV),
         "pipeline_dq_results": _clean(_suite("clean", open_suite), CSV),
+        "ingest_odd": _with(ODD_RAW, _NAN_APART + "raw"),
+        "clean_odd": _clean(_NAN_APART + "clean", ODD_TRIMMED),
+        "column_contract_broken": " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, EXISTS (SELECT 1 FROM events WHERE '{c}' NOT IN ({_quoted(LACKING)})) AS present"
+            for c in COLUMNS
+        ),
         "column_contract": " UNION ALL ".join(
             f"SELECT '{c}' AS column_name, EXISTS (SELECT 1 FROM events) AS present" for c in COLUMNS
         ),

@@ -83,10 +83,10 @@ def clean_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean(raw_of(spark, sf_dir))
 
 
-def parts_of(spark: SparkSession, sf_dir: str) -> str:
+def parts_of(spark: SparkSession, sf_dir: str, form: dict[str, str] | None = None) -> str:
     """A folder of parts cut inside records, derived from the events."""
     path = new_shared_dir(spark, "parts")
-    fixtures.write_byte_split(fixtures.events(spark, sf_dir), path)
+    fixtures.write_byte_split(fixtures.events(spark, sf_dir), path, form)
     return path
 
 
@@ -106,6 +106,20 @@ def _on_parts(build: Callable[[SparkSession, str], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(spark, parts_of(spark, sf_dir))
 
 
+def _on_odd_parts(build: Callable[[SparkSession, str], DataFrame]) -> Query:
+    """Parts of an exporter that orders, quotes and pads in its own way."""
+    return lambda spark, sf_dir: build(spark, parts_of(spark, sf_dir, fixtures.ODD_FORM))
+
+
+def _on_lacking_parts(build: Callable[[SparkSession, str], DataFrame]) -> Query:
+    return lambda spark, sf_dir: build(spark, parts_of(spark, sf_dir, fixtures.LACKING_FORM))
+
+
+def _nan_apart(df: DataFrame) -> DataFrame:
+    """NaN as a flag, since engines differ in how they show it."""
+    return df.withColumns({"risk_is_nan": F.isnan("risk_score"), "risk_score": F.nanvl("risk_score", F.lit(None))})
+
+
 # -- projections -----------------------------------------------------------------------
 
 
@@ -405,6 +419,9 @@ QUERIES: dict[str, Query] = {
         lambda spark, raw_dir: read_transactions(spark, raw_dir, string_nulls=True)
     ),
     "ingest_metadata": _on_parts(ingest_metadata),
+    "ingest_odd": _on_odd_parts(lambda spark, parts: _nan_apart(read_transactions(spark, parts))),
+    "clean_odd": _on_odd_parts(lambda spark, parts: _nan_apart(clean(read_transactions(spark, parts)))),
+    "column_contract_broken": _on_lacking_parts(column_contract),
     "null_token_counts": null_token_counts,
     "parquet_round_trip": _on_clean(parquet_round_trip),
     "csv_export": _on_clean(csv_export),
