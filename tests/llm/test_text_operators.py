@@ -126,6 +126,33 @@ def test_quality_scores(spark, documents):
     assert docs_of(spark, ["a"]).select(factorisation.score(blank, F.col("text"), F.col("n_chars")).alias("s")).first()["s"] == 0.5
 
 
+def test_quality_scores_are_calibrated(spark):
+    """The query's verdicts at its cut, on rows that no training saw, and its columns."""
+    from txspark.llm import queries
+
+    where = "/root/testdata/sf0.1"
+    rows = queries.op9_factorisation_machine(spark, where)
+    assert rows.columns == ["doc_id", "held_out", "score", "predicted"]
+    seen = rows.join(spark.read.parquet(f"{where}/labels.parquet"), "doc_id").where("held_out").collect()
+    assert np.mean([r["predicted"] == r["quality"] for r in seen]) > 0.985
+    assert abs(np.mean([r["score"] for r in seen]) - np.mean([r["quality"] for r in seen])) < 0.02
+    assert all(r["predicted"] == (r["score"] >= 0.7) for r in seen)
+
+
+def test_calibration_of_few_rows():
+    shape = factorisation.Shape(buckets=4, factors=2)
+    size = 4 + factorisation.STATISTICS
+    made = lambda: factorisation.Machine(shape, 0.0, np.eye(1, size)[0], np.zeros((size, 2)))
+    rows = [(np.array([0]), np.array([z])) for z in (-3.0, -1.0, 5.0, 9.0)]
+    machine = made()
+    factorisation.calibrate(machine, rows, np.array([0.0, 0.0, 0.0, 1.0]))
+    assert machine.score(*rows[3]) > 0.5 > machine.score(*rows[2])
+    for labels in ([1.0] * 4, [0.0] * 4, [1.0, 1.0, 0.0, 0.0]):  # one label, or order reversed
+        machine = made()
+        factorisation.calibrate(machine, rows, np.array(labels))
+        assert (machine.slope, machine.offset) == (1.0, 0.0)
+
+
 def test_sum_of_squares_identity():
     rng = np.random.default_rng(1)
     machine = factorisation.Machine(factorisation.Shape(buckets=5), 0.1, rng.normal(size=12), rng.normal(size=(12, 3)))

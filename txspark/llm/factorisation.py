@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from txspark.llm.common import bounded_sample
 
 CACHE_ENTRIES = 400_000
+CALIBRATION = 5
 _UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _COUNTED = [_UPPER, b"0123456789", b"#*$%&|<>", b".,;:", b"!?", b"|", b"@=/\\_", bytes(range(128, 256))]
 STATISTICS = len(_COUNTED) + 8
@@ -45,12 +46,18 @@ class Machine:
     bias: float
     linear: np.ndarray
     factors: np.ndarray
+    # a logistic curve over the machine's log odds, fitted on rows it was not trained on
+    slope: float = 1.0
+    offset: float = 0.0
 
-    def score(self, index: np.ndarray, value: np.ndarray) -> float:
-        """Probability of label 1 for one sparse row."""
+    def log_odds(self, index: np.ndarray, value: np.ndarray) -> float:
         projected = value @ self.factors[index]
         squares = (value**2) @ (self.factors[index] ** 2)
-        z = self.bias + value @ self.linear[index] + 0.5 * float((projected**2 - squares).sum())
+        return float(self.bias + value @ self.linear[index] + 0.5 * float((projected**2 - squares).sum()))
+
+    def score(self, index: np.ndarray, value: np.ndarray) -> float:
+        """Probability of label 1 for one sparse row."""
+        z = self.slope * self.log_odds(index, value) + self.offset
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
@@ -132,9 +139,41 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, shape: Sh
     return machine
 
 
+def calibrate(machine: Machine, rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> None:
+    """Fit slope and offset to rows that the machine has not seen, by Newton steps. Targets are
+    drawn in a little, so that separable rows have a finite slope; rows of one label change
+    nothing."""
+    positive, negative = labels.sum(), (1 - labels).sum()
+    if not positive or not negative:
+        return
+    target = np.where(labels == 1, (positive + 1) / (positive + 2), 1 / (negative + 2))
+    x = np.column_stack([[machine.log_odds(*r) for r in rows], np.ones(len(rows))])
+    scale = max(float(np.abs(x[:, 0]).max()), 1e-9)
+    x[:, 0] /= scale
+    ridge = np.diag([1e-3, 1e-6])
+    b = np.array([scale, 0.0])
+
+    def loss(at: np.ndarray) -> float:
+        z = np.clip(x @ at, -500, 500)
+        return float((np.logaddexp(0, z) - target * z).sum() + at @ ridge @ at / 2)
+
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge, x.T @ (p - target) + ridge @ b)
+        size = 1.0
+        while size > 1e-6 and loss(b - size * step) > loss(b):
+            size /= 2
+        if size <= 1e-6:
+            break
+        b = b - size * step
+    if b[0] > 0:  # a machine whose order is no better than chance is left as it is
+        machine.slope, machine.offset = float(b[0] / scale), float(b[1])
+
+
 def train(docs: DataFrame, labels: DataFrame, text: str, length: str, key: str, label: str, shape: Shape = Shape()) -> Machine:
     """Fit on at most shape.max_rows of the labelled rows; the sample, not the table, is sent
-    to the documents. Without any labelled rows every score is one half."""
+    to the documents. Every fifth of them only calibrates the scores. Without any labelled rows
+    every score is one half."""
     wanted = labels.where(F.col(label).isin(0, 1)).select(
         F.xxhash64(F.col(key)).alias("h"), F.col(key).alias("id"), F.col(label).cast("double").alias("y")
     )
@@ -158,7 +197,13 @@ def train(docs: DataFrame, labels: DataFrame, text: str, length: str, key: str,
         size = shape.buckets + STATISTICS
         return Machine(shape, 0.0, np.zeros(size), np.zeros((size, shape.factors)))
     rows = [(np.array(r["i"], np.int64), np.array(r["v"], np.float64)) for r in found]
-    return fit(rows, np.array([r["y"] for r in found]), shape)
+    y = np.array([r["y"] for r in found])
+    apart = np.arange(len(rows)) % CALIBRATION == CALIBRATION - 1
+    if not (~apart).any():
+        return fit(rows, y, shape)
+    machine = fit([r for r, a in zip(rows, apart, strict=True) if not a], y[~apart], shape)
+    calibrate(machine, [r for r, a in zip(rows, apart, strict=True) if a], y[apart])
+    return machine
 
 
 def score(machine: Machine, text: Column, length: Column) -> Column:
