@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 from txspark.llm.chunks import cuts_at_spaces
 from txspark.llm.common import fresh, stored
 
-CACHE_ENTRIES = 400_000
+# About 220 bytes each.
+CHUNK_ENTRIES, WORD_ENTRIES = 320_000, 60_000
 TEXTS_AT_ONCE = 1000
 CHARS_AT_ONCE = 4_000_000
 PIECES_PER_BUCKET = 100_000
@@ -92,8 +93,8 @@ class _Tokens:
         self.spelling = _byte_spelling()
         self.space, self.line_end = chr(self.spelling[32]), chr(self.spelling[10])
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
-        self.words = _Cache(self._word, CACHE_ENTRIES)
-        self.chunks = _Cache(self._chunk, CACHE_ENTRIES)
+        self.words = _Cache(self._word, WORD_ENTRIES)
+        self.chunks = _Cache(self._chunk, CHUNK_ENTRIES)
 
     def _word(self, word: str) -> bytes:
         """Of a pre-tokenizer's word, spelled its way."""
