@@ -384,6 +384,8 @@ def oracle_sql() -> dict[str, str]:
         "pipeline_top_receivers": csv_receivers,
         "pipeline_cleaning_metrics": _clean(METRICS, CSV),
         "pipeline_dq_results": _clean(_suite("clean", open_suite), CSV),
+        "ingest_lines_by_spark": _copies(f"{RECORD} AS value"),
+        "ingest_odd_by_spark": _with(ODD_RAW, _NAN_APART + "raw"),
         "ingest_odd": _with(ODD_RAW, _NAN_APART + "raw"),
         "clean_odd": _clean(_NAN_APART + "clean", ODD_TRIMMED),
         "column_contract_broken": " UNION ALL ".join(

@@ -46,6 +46,7 @@ from txspark.schema import COLUMNS, missing_columns
 from txspark.session import configure, new_shared_dir, shuffle_partitions
 from txspark.sinks.publish import read_published
 from txspark.sinks.tables import export_csv, preview, store_results, write_table
+from txspark.sources import wholefiles
 from txspark.sources.bytesplit import find_parts, read_header, split_header
 from txspark.sources.ingest import ingest
 from txspark.sources.lines import (
@@ -419,6 +420,8 @@ QUERIES: dict[str, Query] = {
         lambda spark, raw_dir: read_transactions(spark, raw_dir, string_nulls=True)
     ),
     "ingest_metadata": _on_parts(ingest_metadata),
+    "ingest_lines_by_spark": _on_parts(wholefiles.read_lines),
+    "ingest_odd_by_spark": _on_odd_parts(lambda spark, parts: _nan_apart(wholefiles.read_transactions(spark, parts))),
     "ingest_odd": _on_odd_parts(lambda spark, parts: _nan_apart(read_transactions(spark, parts))),
     "clean_odd": _on_odd_parts(lambda spark, parts: _nan_apart(clean(read_transactions(spark, parts)))),
     "column_contract_broken": _on_lacking_parts(column_contract),
