@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txspark.llm.common import bounded_sample, ship, stored
+from txspark.llm.common import bounded_sample, ship, spread, stored
 
 _WORD = re.compile(r"\w+")
 CACHE_ENTRIES = 100_000
@@ -35,7 +35,9 @@ CACHE_ENTRIES = 100_000
 class Settings:
     """max_examples: labelled rows of each label, the bound of the sample that is learned from.
     stems: lengths of word beginnings that count as terms of their own. false_terms: the share
-    of chosen terms that may be there by chance. cover: terms that an example needs before further
+    of chosen terms that may be there by chance; lift: how many times more often than in label 0
+    a term stands in texts of label 1, at least, so that a language or a subject which has a few
+    more of these is no sign. cover: terms that an example needs before further
     ones count as no help to it. near: distance at which a vote halves."""
 
     max_examples: int = 4000
@@ -43,6 +45,7 @@ class Settings:
     least_texts: int = 3
     stems: tuple[int, ...] = (4, 5, 6, 7)
     false_terms: float = 0.05
+    lift: float = 3.0
     cover: int = 5
     neighbours: int = 15
     block: int = 32
@@ -230,7 +233,7 @@ def _chosen_terms(sample: DataFrame, settings: Settings, sizes: dict[int, int])
         .groupBy("term")
         .agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
         .where(F.col("a") + F.col("b") >= settings.least_texts)
-        .select("term", (F.col("a") * n0 > F.col("b") * n1).alias("more"), (2 * (part(F.col("a"), n1) + part(F.col("b"), n0))).alias("g"))
+        .select("term", (F.col("a") * n0 >= settings.lift * F.col("b") * n1).alias("more"), (2 * (part(F.col("a"), n1) + part(F.col("b"), n0))).alias("g"))
     )
     found = stored(found, "terms")
     tested = found.count()
@@ -301,15 +304,14 @@ def train(docs: DataFrame, labels: DataFrame, text: str, key: str, label: str, s
         return Model(settings)
     drawn = [bounded_sample(wanted.where(F.col("y") == y), "h", settings.max_examples) for y in sorted(all_of)]
     few = drawn[0] if len(drawn) == 1 else drawn[0].union(drawn[1])
-    held = (
-        docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-        .join(F.broadcast(few), "id")  # at most max_examples of each label
-        .groupBy("y", "t")
-        .agg(F.min("h").alias("h"), F.min("id").alias("id"))
-        .orderBy("h", "y", "id", "t")
-        .limit(2 * settings.max_examples)
-    )
-    sample = stored(held.repartition(max(docs.sparkSession.sparkContext.defaultParallelism, 1)), "examples")
+    few = F.broadcast(few)  # at most max_examples of each label
+    texts = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t")).join(few, "id")
+    # ids that repeat among the documents bring more texts than the sample has ids; the share that
+    # is kept is drawn where the rows are, so that no task gathers them
+    share = 2 * settings.max_examples / max(docs.select(F.col(key).alias("id")).join(few, "id").count(), 1)
+    if share < 1:
+        texts = texts.withColumn("drawn", F.xxhash64("id", "t")).where(spread("drawn") < int(share * (1 << 30)))
+    sample = stored(texts.groupBy("y", "t").agg(F.min("id").alias("id")), "examples")
     sizes = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return Model(settings)
