@@ -145,9 +145,13 @@ def _with_copies(df: DataFrame) -> DataFrame:
 
 
 def transactions(events_df: DataFrame) -> DataFrame:
-    """The raw relation. One scan: duplicates come from a generator, not from a union."""
-    exprs = [f"{e} AS {c}" for c, e in RAW_EXPRESSIONS.items()]
-    return _with_copies(events_df).selectExpr(*exprs)
+    """The raw relation. One scan: duplicates come from a generator, not from a union.
+
+    The fields come from a one-row generator, which no filter passes: each is computed once,
+    and not again in every condition on it.
+    """
+    fields = ", ".join(f"{e} AS {c}" for c, e in RAW_EXPRESSIONS.items())
+    return _with_copies(events_df).selectExpr(f"inline(array(struct({fields})))")
 
 
 def number_texts(events_df: DataFrame, columns: list[str]) -> DataFrame:

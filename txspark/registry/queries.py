@@ -6,6 +6,7 @@ need files first have Spark derive them from the given tables into the shared fo
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from datetime import datetime, timezone
 
@@ -341,11 +342,19 @@ def stream_ingest(spark: SparkSession, raw_dir: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(f"{base}/raw")
 
 
+BATCHES = 4
+EVENTS_PER_FILE = 100_000
+
+
 def _out_of_order(spark: SparkSession, sf_dir: str, base: str) -> DataFrame:
-    """The raw relation as a stream of several batches, each with rows of all times."""
-    events = fixtures.events(spark, sf_dir).repartition(4, F.pmod(F.hash("event_id"), F.lit(4)))
-    events.write.parquet(f"{base}/events")
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/events")
+    """The raw relation as a stream of several batches, each with rows of all times.
+
+    A batch has files of a bounded number of rows, so that its tasks grow in number and not in size.
+    """
+    events = fixtures.events(spark, sf_dir)
+    files = max(math.ceil(events.count() / (BATCHES * EVENTS_PER_FILE)), 1)
+    events.repartition(BATCHES * files, "event_id").write.parquet(f"{base}/events")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files).parquet(f"{base}/events")
     return fixtures.transactions(stream)
 
 
