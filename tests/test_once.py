@@ -1,8 +1,14 @@
 """Derived input and parsed records are computed once a row, and stream batches stay divided."""
 
+import re
+
+from pyspark.sql import functions as F
+
 from txspark import fixtures
 from txspark.plans.clean import valid_rows
 from txspark.registry import queries
+from txspark.schema import COLUMNS
+from txspark.sources.lines import parse_csv
 
 
 def plan_of(df):
@@ -21,6 +27,11 @@ def test_filters_do_not_derive_fields_again(spark):
     assert plan.count("md5(") == sum(e.count("md5(") for e in fixtures.RAW_EXPRESSIONS.values())
 
 
+def test_filters_do_not_parse_a_line_again(spark):
+    lines = fixtures.csv_records(events_of(spark, 10), 5).select(F.col("record").alias("value"))
+    assert len(re.findall("from_csv", plan_of(valid_rows(parse_csv(lines, COLUMNS))))) == 1
+
+
 def test_batches_have_files_of_bounded_size(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(queries, "EVENTS_PER_FILE", 50)
     events_of(spark, 1000).write.parquet(f"{tmp_path}/sf/events.parquet")

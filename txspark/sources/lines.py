@@ -91,12 +91,13 @@ def parse_csv(
     options = {"mode": "FAILFAST", "escape": '"'}
 
     def text(name: str) -> str:
-        field = f"record.{ident(name)}"
+        field = ident(name)
         if string_nulls or not isinstance(kinds[name], T.StringType):
             return f"{null_if_token(field, tokens)} AS {ident(name)}"
         return f"coalesce({field}, '') AS {ident(name)}"  # the parser reads "" as NULL
 
-    records = lines.select(F.from_csv("value", fields.toDDL(), options).alias("record"))
+    # A line is parsed once: no filter passes the one-row generator, to parse it again for itself.
+    records = lines.select(F.inline(F.array(F.from_csv("value", fields.toDDL(), options))))
     texts = records.selectExpr(*[text(n) for n in header])
     return texts.selectExpr(*[_typed(n, kinds[n]) for n in header])
 
