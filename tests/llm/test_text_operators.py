@@ -292,3 +292,13 @@ def test_looser_personal_data_is_added(spark):
     for i, (text, kind, m) in enumerate(planted):
         assert got[i] == f"{kind}:{text.index(m)}:{text.index(m) + len(m)}", text
     assert not any(got[len(planted) + i] for i in range(len(none))), got
+
+
+def test_histogram_sums_are_taken_once_a_row(spark):
+    docs = spark.createDataFrame([([1, 3],), ([0, 0],), ([2, 2],)], "counts array<bigint>")
+    shared = quality_rules.with_shares(docs, "counts", "shares")
+    out = shared.select(F.expr("shares"), quality_rules.js_distance("shares", [1, 1]).alias("d")).collect()
+    assert [r.shares for r in out] == [[0.25, 0.75], None, [0.5, 0.5]]
+    assert out[2].d == 0 and 0 < out[0].d < 1
+    lines = [x for x in shared._jdf.queryExecution().executedPlan().toString().splitlines() if "transform(" in x]
+    assert lines and not any("aggregate(" in x.split("transform(", 1)[1].split("lambdafunction", 1)[0] for x in lines)

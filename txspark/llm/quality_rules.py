@@ -170,32 +170,42 @@ def references(histogram: DataFrame, lang: str) -> References:
     )
 
 
-def js_distance(counts: str, reference: list[int]) -> Column:
-    """Jensen-Shannon distance between an array of counts and a reference histogram."""
+def js_distance(shares: str, reference: list[int]) -> Column:
+    """Jensen-Shannon distance between an array of shares and a reference histogram."""
     total = sum(reference)
-    shares = ", ".join(f"{x / total!r}D" for x in reference)
-    size = f"aggregate(`{counts}`, 0D, (a, x) -> a + x)"
+    others = ", ".join(f"{x / total!r}D" for x in reference)
     term = lambda v: f"CASE WHEN {v} > 0 THEN {v} * ln(2 * {v} / (p + q)) ELSE 0D END"
-    parts = f"zip_with(transform(`{counts}`, x -> x / {size}), array({shares}), (p, q) -> {term('p')} + {term('q')})"
+    parts = f"zip_with(`{shares}`, array({others}), (p, q) -> {term('p')} + {term('q')})"
     return F.expr(f"sqrt(greatest(aggregate({parts}, 0D, (a, x) -> a + x), 0D) / {2 * math.log(2)!r}D)")
 
 
+def with_shares(docs: DataFrame, counts: str, shares: str) -> DataFrame:
+    """Adds an array of counts as shares of their sum, which is taken once for each row; null
+    where there is nothing to share."""
+    size, = fresh(docs, "size")
+    out = once(docs, **{size: F.expr(f"aggregate(`{counts}`, 0D, (a, x) -> a + x)")})
+    divided = F.expr(f"CASE WHEN `{size}` > 0 THEN transform(`{counts}`, x -> x / `{size}`) END")
+    return once(out, **{shares: divided}).drop(size)
+
+
 def judge(docs: DataFrame, refs: References, limits: Limits) -> DataFrame:
     """Adds base_failed, class_distance, word_distance (to the nearest language; null where
     the document is too short or there is no reference) and kept."""
     size = F.aggregate("class_counts", F.lit(0).cast("long"), lambda a, x: a + x)
 
-    def nearest(counts: str, by_language: dict[str, list[int]]) -> Column:
-        found = [js_distance(counts, r) for r in by_language.values()]
+    def nearest(shares: str, by_language: dict[str, list[int]]) -> Column:
+        found = [js_distance(shares, r) for r in by_language.values()]
         return F.array_min(F.array(*found)) if found else F.lit(None).cast("double")
 
+    classes, words = fresh(docs, "class_shares", "word_shares")
+    shared = with_shares(with_shares(docs, "class_counts", classes), "word_counts", words)
     out = once(
-        docs,
+        shared,
         base_failed=(F.col("n_words") < limits.least_words)
         | (100 * F.col("n_repeat_words") > limits.repeat_percent * F.col("n_words")),
-        class_distance=F.when(size >= limits.class_characters, nearest("class_counts", refs.classes)),
-        word_distance=F.when(F.col("n_words") >= limits.word_count, nearest("word_counts", refs.words)),
-    )
+        class_distance=F.when(size >= limits.class_characters, nearest(classes, refs.classes)),
+        word_distance=F.when(F.col("n_words") >= limits.word_count, nearest(words, refs.words)),
+    ).drop(classes, words)
     far = F.coalesce(F.col("class_distance") > limits.class_distance, F.lit(False)) | F.coalesce(
         F.col("word_distance") > limits.word_distance + limits.word_noise / F.sqrt("n_words"), F.lit(False)
     )
