@@ -294,6 +294,13 @@ def test_looser_personal_data_is_added(spark):
     assert not any(got[len(planted) + i] for i in range(len(none))), got
 
 
+def test_bpe_decoder_holds_tokens_alone():
+    ranks = {bytes([b]): b for b in range(256)} | {b" a": 256, b" ab": 257}
+    codec, decoder = bpe.Codec(ranks, public_tokenizers.PATTERN), bpe.Decoder(ranks)
+    assert decoder.decode(codec.encode("x ab ab, ab")) == b"x ab ab, ab"
+    assert list(vars(decoder)) == ["tokens"] and not hasattr(codec, "tokens")
+
+
 def test_histogram_sums_are_taken_once_a_row(spark):
     docs = spark.createDataFrame([([1, 3],), ([0, 0],), ([2, 2],)], "counts array<bigint>")
     shared = quality_rules.with_shares(docs, "counts", "shares")

@@ -111,14 +111,13 @@ class _Chunks(dict):
 
 
 class Codec:
-    """Encodes texts to packed ids and decodes packed ids to bytes."""
+    """Encodes texts to packed ids."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         spelled = pattern.replace(r"[^\s", f"[^{WHITE}").replace(r"\S", f"[^{WHITE}]").replace(r"\s", f"[{WHITE}]")
         self.split = regex.compile(spelled).findall
         self.pieces = _Pieces(ranks)
         self.chunks = _Chunks(self.split, self.pieces)
-        self.tokens = {i: t for t, i in ranks.items()}
 
     def encode(self, text: str) -> bytes:
         chunks = space_chunks(text)
@@ -127,6 +126,14 @@ class Codec:
         head = b"".join(map(self.pieces.__getitem__, self.split(chunks[0])))
         return head + b"".join(map(self.chunks.__getitem__, chunks[1:]))
 
+
+
+class Decoder:
+    """Decodes packed ids to bytes. Its worker holds the tokens and no cache."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.tokens = {i: t for t, i in ranks.items()}
+
     def decode(self, packed: bytes) -> bytes:
         ids = np.frombuffer(packed, dtype="<u4").tolist()
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -142,6 +149,11 @@ def _codec(path: str, pattern: str) -> Codec:
     return Codec(load_ranks(path), pattern)
 
 
+@lru_cache(maxsize=2)
+def _decoder(path: str) -> Decoder:
+    return Decoder(load_ranks(path))
+
+
 def encode(text: Column, ranks_path: str, pattern: str) -> Column:
     """Packed token ids of every whole text; a null text encodes as an empty one.
 
@@ -162,8 +174,8 @@ def decode(ids: Column, ranks_path: str, pattern: str) -> Column:
 
     @F.pandas_udf("binary")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        codec = _codec(ranks_path, pattern)
+        decoder = _decoder(ranks_path)
         for batch in batches:
-            yield pd.Series([None if b is None else codec.decode(b) for b in batch], dtype=object)
+            yield pd.Series([None if b is None else decoder.decode(b) for b in batch], dtype=object)
 
     return run(ids)
