@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -301,6 +303,52 @@ def test_bpe_decoder_holds_tokens_alone():
     assert list(vars(decoder)) == ["tokens"] and not hasattr(codec, "tokens")
 
 
+def test_bpe_keeps_nothing_from_one_text_to_the_next():
+    ranks = {bytes([b]): b for b in range(256)} | {b" a": 256, b" ab": 257}
+    codec, rng = bpe.Codec(ranks, public_tokenizers.PATTERN), random.Random(5)
+    texts = [" ".join("".join(rng.choices("abcdefgh", k=9)) for _ in range(6000)) for _ in range(8)]
+    codec.encode(texts[0])
+    tracemalloc.start()
+    for text in texts[1:]:
+        codec.encode(text)
+    kept = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert kept < 1_000_000
+
+
+def test_bpe_texts_together_equal_merges_alone():
+    ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    codec, rng = bpe.Codec(ranks, public_tokenizers.PATTERN), random.Random(7)
+    letters = "aabehinorst  \n\t\x1c\x85\xa0.,!?'é漢\U0001f642"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(400))) for _ in range(400)]
+    texts += ["", " ", "a ", " a", "a\n b", "\na b", "ab" * 40 + " c", *("".join(rng.choices("abc", k=n)) for n in range(1, 70))]
+    texts += [" ".join("".join(rng.choices("etaonrishd", k=rng.randrange(1, 70))) for _ in range(3000))]
+    for text, packed in zip(texts, codec.encode_all(texts), strict=True):
+        known = [i for m in codec.split(text) for i in bpe.merge(m.encode(), ranks, codec.longest)]
+        assert np.frombuffer(packed, "<u4").tolist() == known, text
+    assert codec.encode_all([]) == [] and codec.encode_all(["", ""]) == [b"", b""]
+
+
+def test_bpe_trees_equal_merges_for_any_ranks():
+    rng = random.Random(11)
+    tokens = {bytes(rng.choices(b"abcd", k=rng.randrange(2, 6))) for _ in range(150)} | {bytes([b]) for b in b"abcd"}
+    ranks = {t: 3 * r + 1 for r, t in enumerate(rng.sample(sorted(tokens), len(tokens)))}
+    codec = bpe.Codec(ranks, r" ?\p{L}+")
+    words = ["".join(rng.choices("abcd", k=rng.randrange(1, 64))) for _ in range(2000)]
+    for word, packed in zip(words, codec.encode_all(words), strict=True):
+        assert np.frombuffer(packed, "<u4").tolist() == bpe.merge(word.encode(), ranks, codec.longest)
+    with pytest.raises(KeyError):
+        codec.encode_all(["x" + w for w in words])
+
+
+def test_bpe_slices_are_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(bpe, "CHARS_AT_ONCE", 10)
+    rows = ["abcd", None, "é" * 4, "", "x" * 50, "y", "z" * 9, "w"]
+    slices = list(bpe._slices(iter([pa.array(rows[:5]), pa.array([], pa.string()), pa.array(rows[5:])])))
+    assert [r for s in slices for r in s] == rows
+    assert all(sum(len((r or "").encode()) for r in s[:-1]) <= 10 for s in slices)
+
+
 def test_histogram_sums_are_taken_once_a_row(spark):
     docs = spark.createDataFrame([([1, 3],), ([0, 0],), ([2, 2],)], "counts array<bigint>")
     shared = quality_rules.with_shares(docs, "counts", "shares")
