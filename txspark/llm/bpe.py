@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from txspark.llm.chunks import cuts_at_spaces
 
-CHARS_AT_ONCE = 4_000_000
+CHARS_AT_ONCE = 2_000_000
 # Matches of up to so many bytes are merged together, up to TREES_AT_ONCE of them; few are
 # faster one by one.
 TREE_LEAVES = (8, 16, 32, 64)
@@ -314,6 +314,8 @@ def _slices(batches: Iterator[pa.Array]) -> Iterator[list]:
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(batch)]
         for a, b in zip(cuts, cuts[1:], strict=False):
             yield batch.slice(a, b - a).to_pylist()
+        del batch
+        pa.default_memory_pool().release_unused()  # before the next one comes
 
 
 def encode(text: Column, ranks_path: str, pattern: str) -> Column:
