@@ -2,7 +2,7 @@
 
 A single space between two characters that are not white space always starts a new match of
 the tokenizers' split pattern. Texts whose spaces all stand like that fall into chunks at
-their spaces; each chunk is tokenized on its own, and repeated chunks come from a cache.
+their spaces; each chunk is tokenized on its own, and repeated chunks only once.
 """
 
 from __future__ import annotations
@@ -17,9 +17,3 @@ def cuts_at_spaces(text: str) -> bool:
     """Whether all spaces of the text stand between characters that are no white space, so that
     each starts a new match."""
     return not _UNSAFE.search(text)
-
-
-def space_chunks(text: str) -> list[str] | None:
-    """The text cut before each space, the space left out of all chunks but implied from
-    the second on; None where some space stands beside other white space."""
-    return text.split(" ") if cuts_at_spaces(text) else None
